@@ -1,0 +1,5 @@
+"""Empty on purpose.
+
+All reports are full batch recomputations; there is no streaming surface to
+re-express (no watermarks, state or late data), so nothing is offered here.
+"""
