@@ -7,7 +7,7 @@ from .nulls import (count_distinct_na, empty_fallback, fill_from, if_na,
                     strict_max, strict_min, strict_sum)
 from .numbers import cast_numeric, ratio, round_half_even
 from .states import (INVALID_STATES, device_class, is_canceled, is_open,
-                     is_valid)
+                     is_valid, valid_only)
 from .text import (cascade, first_name, fold_ascii, last_match, matches,
                    split_pick)
 
@@ -19,4 +19,5 @@ __all__ = [
     "last_match", "matches", "month_label", "month_of", "month_offset",
     "ratio", "recode", "round_half_even", "split_pick", "start_of_month",
     "start_of_previous_month", "strict_max", "strict_min", "strict_sum",
+    "valid_only",
 ]

@@ -18,6 +18,12 @@ def is_valid(state: ColumnLike) -> Column:
     return F.when(as_col(state).isin(*INVALID_STATES), 0).otherwise(1)
 
 
+def valid_only(state: ColumnLike) -> Column:
+    """:func:`is_valid` as a filter, in a form a scan can push down."""
+    state = as_col(state)
+    return state.isNull() | ~state.isin(*INVALID_STATES)
+
+
 def is_open(state: ColumnLike) -> Column:
     """0 once an order is canceled or completed, 1 before; NULL is open."""
     return F.when(as_col(state).isin(CANCELED, COMPLETED), 0).otherwise(1)

@@ -8,11 +8,13 @@ from .quantiles import exact_quantiles
 from .reshape import (concat_by_group, crosstab, explode_array, explode_named,
                       fill_na, flatten_structs, melt_pairs, pivot_flags,
                       pivot_wide)
+from .reuse import hold, lazily
 
 __all__ = [
     "concat_by_group", "control_totals", "crosstab", "distinct_values",
     "duplicate_keys", "exact_quantiles", "explode_array", "explode_named",
     "fill_na", "first_by_key", "first_last", "flatten_structs",
-    "frequency_table", "global_median", "left_join", "median_by",
+    "frequency_table", "global_median", "hold", "lazily",
+    "left_join", "median_by",
     "melt_pairs", "pivot_flags", "pivot_wide", "right_join",
 ]

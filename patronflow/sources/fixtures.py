@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import left_join
-
 # Block names of the voucher tables, by voucher number. Rules
 # overlap in some, one has no name, some match no rule.
 BLOCK_NAMES = [

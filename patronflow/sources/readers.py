@@ -35,10 +35,11 @@ def scan_delimited(spark: SparkSession, path: str, schema: str,
                    sep: str = ";") -> DataFrame:
     """Read a headered delimited extract with a fixed schema.
 
-    The text ``NA`` is a missing value; an empty field stays an empty text.
+    The text ``NA`` is a missing value, as is a field left empty without
+    quotes; a quoted empty field stays an empty text.
     """
     return (spark.read.schema(schema)
-            .options(sep=sep, header=True, nullValue="NA", emptyValue="")
+            .options(sep=sep, header=True, nullValue="NA")
             .csv(path))
 
 

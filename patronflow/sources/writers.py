@@ -11,7 +11,7 @@ def write_report(df: DataFrame, path: str, sep: str = ",",
                  mode: str = "overwrite") -> None:
     """Report table as headered CSV; missing values are written as ``NA``."""
     (df.write.mode(mode)
-     .options(header=True, sep=sep, nullValue="NA", emptyValue="")
+     .options(header=True, sep=sep, nullValue="NA")
      .csv(path))
 
 
