@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (cast_numeric, count_distinct_na, days_between, device_class,
-                         empty_fallback, first_name, fold_ascii, format_day, is_canceled,
+                         first_name, fold_ascii, format_day, is_canceled,
                          is_open, ratio, round_half_even, split_pick, strict_max,
                          strict_min)
 from ..functions._cols import ColumnLike, as_col
@@ -39,18 +39,19 @@ NUMERIC = (
 )
 
 
+def _first_address(field: str) -> Column:
+    return F.get("addresses", F.lit(0))[field]
+
+
 def customer_address(customers: DataFrame) -> DataFrame:
     """(customer_id, address_line, zip) of the first address on file.
 
-    An empty value falls back to the next address.
+    With several addresses the reports also take the first one, even if a
+    field of it is empty; without any address both are NULL.
     """
-    def pick(field: str) -> Column:
-        at = [F.get("addresses", F.lit(i))[field] for i in (0, 1)]
-        return empty_fallback(at[0], at[1])
-
     return customers.select(F.col("_id").alias("customer_id"),
-                            pick("addressLine").alias("address_line"),
-                            pick("zip").alias("zip"))
+                            _first_address("addressLine").alias("address_line"),
+                            _first_address("zip").alias("zip"))
 
 
 def service_class(reference: ColumnLike) -> Column:
@@ -111,15 +112,17 @@ def customer_status(valid_orders: ColumnLike) -> Column:
 def order_ratings(ratings: DataFrame, order: Sequence[str] = ("_id",)) -> DataFrame:
     """First rating per order with its topics as columns.
 
-    A rating without topics is kept. Topics are entries of one record, so
+    A rating without any topic is kept, with NULL topics; next to other topics
+    an unmarked topic is the empty text. Topics are entries of one record, so
     spreading them needs neither a pivot nor a join back.
     """
     firsts = first_by_key(ratings.select("_id", "orderReference", "rating", "topics"),
                           ["orderReference"], list(order))
     return firsts.select(
         F.col("orderReference").alias("order"), "rating",
-        *[F.try_element_at("topics", F.lit(topic)).alias(name)
-          for topic, name in TOPICS.items()])
+        *[F.when(F.size("topics") > 0,
+                 F.coalesce(F.try_element_at("topics", F.lit(topic)), F.lit("")))
+          .alias(name) for topic, name in TOPICS.items()])
 
 
 def _rating_features() -> list[Column]:
@@ -206,10 +209,7 @@ def customer_360(customers: DataFrame, orders: DataFrame, ratings: DataFrame,
         F.col("internalData.gender").alias("gender"),
         F.col("internalData.basketGender").alias("basket_gender"),
         F.col("meta.language").alias("language"), "addresses")
-    zip_code = F.get("addresses", F.lit(0))["zip"]
-    base = base.withColumn(
-        "zip", empty_fallback(zip_code, F.get("addresses", F.lit(1))["zip"])
-    ).drop("addresses")
+    base = base.withColumn("zip", _first_address("zip")).drop("addresses")
 
     wide = left_join(base, customer_features(orders, ratings), "customer_id")
     wide = left_join(wide, last_notification(notifications), "email")
