@@ -43,60 +43,64 @@ def exact_quantiles(df: DataFrame, probs: Mapping[str, Sequence[float]],
               .where(F.col("value").isNotNull())
               .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
 
-    grid = [i / fan_out for i in range(1, fan_out)]
+    grid = ", ".join(f"{i / fan_out}d" for i in range(1, fan_out))
+    wanted_probs = F.lit(None)
+    for name, ps in probs.items():
+        listed = F.expr("array(" + ", ".join(f"{float(p)}d" for p in ps) + ")")
+        wanted_probs = F.when(F.col("series") == name, listed).otherwise(wanted_probs)
+    # Positions among the sorted values, counted from 0; a fractional position
+    # lies between two neighbours.
     cuts = counts.groupBy(*keys).agg(
-        F.percentile_approx("value", grid).alias("cuts"),
-        F.sum("n").alias("total"))
+        F.expr(f"percentile_approx(value, array({grid}))").alias("cuts"),
+        F.sum("n").alias("total"),
+    ).select(*keys, "cuts", F.transform(
+        wanted_probs, lambda p: p * (F.col("total") - 1)).alias("positions"))
     if not by:
         cuts = F.broadcast(cuts)  # one row per entry of ``probs``
     ranged = left_join(counts, cuts, keys).select(
-        *keys, "value", "n", "total",
+        *keys, "value", "n", "positions",
         F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("range"))
 
     before = (Window.partitionBy(*keys).orderBy("range")
               .rowsBetween(Window.unboundedPreceding, -1))
-    wanted = (ranged.groupBy(*keys, "total", "range").agg(F.sum("n").alias("size"))
-              .withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
-              .where(_holds_a_rank(probs))
-              .select(*keys, "range", "start", F.lit(True).alias("wanted")))
+    wanted = (ranged.groupBy(*keys, "range")
+              .agg(F.sum("n").alias("size"), F.max("positions").alias("positions"))
+              .withColumn("low", F.coalesce(F.sum("size").over(before), F.lit(0)))
+              .withColumn("high", F.col("low") + F.col("size"))
+              .where(f"exists(positions, at -> {_holds('floor(at)')} OR {_holds('ceil(at)')})")
+              .select(*keys, "range", F.col("low").alias("start")))
     if not by:
         wanted = F.broadcast(wanted)  # at most two rows per probability
 
     within = (Window.partitionBy(*keys, "range").orderBy("value")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (left_join(ranged, wanted, keys + ["range"]).where("wanted")
+    ranked = (left_join(ranged, wanted, keys + ["range"])
+              .where(F.col("start").isNotNull())
               .withColumn("high", F.col("start") + F.sum("n").over(within))
               .withColumn("low", F.col("high") - F.col("n")))
-    return ranked.groupBy(*by).agg(*[
-        F.array(*[_interpolated(name, p) for p in ps]).alias(name)
-        for name, ps in probs.items()
-    ])
-
-
-def _position(p: float) -> Column:
-    return F.lit(float(p)) * (F.col("total") - 1)
-
-
-def _holds_a_rank(probs: Mapping[str, Sequence[float]]) -> Column:
-    hit = F.lit(False)
-    for name, ps in probs.items():
-        inside = F.lit(False)
-        for p in ps:
-            for rank in (F.floor(_position(p)), F.ceil(_position(p))):
-                inside = inside | ((rank >= F.col("start"))
-                                   & (rank < F.col("start") + F.col("size")))
-        hit = hit | ((F.col("series") == name) & inside)
-    return hit
-
-
-def _interpolated(name: str, p: float) -> Column:
-    mine = F.col("series") == name
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when(mine & (rank >= F.col("low")) & (rank < F.col("high")),
-                            F.col("value")))
-
-    position = _position(p)
-    lower, upper = at(F.floor(position)), at(F.ceil(position))
-    part = F.max(F.when(mine, position - F.floor(position)))
-    return lower + (upper - lower) * part
+    neighbours = F.expr(
+        "filter(transform(positions, (at, i) -> struct(i, at - floor(at) AS part, "
+        f"CASE WHEN {_holds('floor(at)')} THEN value END AS lower, "
+        f"CASE WHEN {_holds('ceil(at)')} THEN value END AS upper)), "
+        "hit -> hit.lower IS NOT NULL OR hit.upper IS NOT NULL)")
+    found = ranked.select(*keys, F.inline(neighbours))
+    # Two rows per probability and group are left.
+    hits = found.groupBy(*by).agg(*[
+        F.collect_list(F.when(F.col("series") == name,
+                              F.struct("i", "part", "lower", "upper"))).alias(name)
+        for name in probs])
+    return hits.select(*by, *[
+        _interpolated(f"`{name}`", len(ps)).alias(name) for name, ps in probs.items()])
+
+
+def _holds(rank: str) -> str:
+    return f"({rank} >= low AND {rank} < high)"
+
+
+def _interpolated(hits: str, n_probs: int) -> Column:
+    lower, upper, part = (
+        f"array_max(transform(filter({hits}, hit -> hit.i = k), hit -> hit.{field}))"
+        for field in ("lower", "upper", "part"))
+    return F.expr(
+        f"CASE WHEN size({hits}) > 0 THEN transform(sequence(0, {n_probs - 1}), "
+        f"k -> {lower} + ({upper} - {lower}) * {part}) END")
