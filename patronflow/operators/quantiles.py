@@ -33,6 +33,9 @@ def exact_quantiles(df: DataFrame, probs: Mapping[str, Sequence[float]],
     none). NULL values are left out, as is a group without any value.
     """
     by = list(by)
+    clashes = {"series", "value", "n", "positions", "range", "i"} & set(by)
+    if clashes:
+        raise ValueError(f"rename the grouping columns {sorted(clashes)}")
     series = F.explode(F.array(*[
         F.struct(F.lit(name).alias("series"),
                  F.col(name).cast("double").alias("value"))
