@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._cols import ColumnLike, as_col
@@ -21,62 +22,61 @@ class Rule(NamedTuple):
     patterns: Sequence[str] = ()
     exact: Sequence[str] = ()
 
-    def test(self, column: Column) -> Column:
-        tests = []
-        if self.patterns:
-            tests.append(matches(column, self.patterns))
-        if self.exact:
-            tests.append(column.isin(*self.exact))
-        hit = tests[0]
-        for test in tests[1:]:
-            hit = hit | test
-        return hit
+    def test(self, column: str) -> str:
+        """SQL condition on a column; a NULL value gives NULL."""
+        tests = [_match_sql(column, p) for p in self.patterns]
+        tests += [f"{column} = {_literal(value)}" for value in self.exact]
+        return "(" + " OR ".join(tests) + ")"
 
+    def hits(self, value: str) -> bool:
+        """The same test on a known value."""
+        return value in self.exact or any(re.search(p, value) for p in self.patterns)
 
-def matches(column: ColumnLike, patterns: str | Iterable[str]) -> Column:
+
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _match_sql(column: str, pattern: str) -> str:
+    # A pattern without special characters is a plain substring, and looking
+    # for a substring is much cheaper than running a regular expression.
+    plain = re.escape(pattern).replace("\\ ", " ").replace("\\-", "-") == pattern
+    function = "contains" if plain else "rlike"
+    return f"{function}({column}, {_literal(pattern)})"
+
+
+def matches(column: str, patterns: str | Iterable[str]) -> Column:
     """Unanchored, case-sensitive regex test; several patterns are alternatives."""
-    if not isinstance(patterns, str):
-        patterns = "|".join(patterns)
-    return as_col(column).rlike(patterns)
+    patterns = [patterns] if isinstance(patterns, str) else list(patterns)
+    return F.expr(Rule("", patterns).test(column))
 
 
-def last_match(column: ColumnLike, rules: Sequence[Rule], default: ColumnLike) -> Column:
+def last_match(column: str, rules: Sequence[Rule], default: str) -> Column:
     """Label of the last rule that matches the *original* value.
 
-    One CASE with the rules in reverse order. A NULL value matches nothing.
+    One CASE with the rules in reverse order. A NULL value matches nothing and
+    takes the default, a SQL expression.
     """
-    column = as_col(column)
-    case = None
-    for rule in reversed(rules):
-        case = (F.when(rule.test(column), rule.label) if case is None
-                else case.when(rule.test(column), rule.label))
-    return case.otherwise(as_col(default))
+    branches = " ".join(f"WHEN {rule.test(column)} THEN {_literal(rule.label)}"
+                        for rule in reversed(rules))
+    return F.expr(f"CASE {branches} ELSE {default} END")
 
 
-def cascade(df, column: str, rules: Sequence[Rule]):
+def cascade(df: DataFrame, column: str, rules: Sequence[Rule]) -> DataFrame:
     """Apply rules one after another to a column, each on the rewritten value.
 
-    A later rule sees the label an earlier rule wrote, so this cannot be one
-    CASE. The rule results are finite, so the chain is folded here: the first
-    rule to hit writes its label, and where that label ends up after the
-    remaining rules is known in advance.
+    A later rule sees the label an earlier rule wrote. The labels are known, so
+    where each one ends up is worked out here and one CASE is left: the first
+    rule to hit decides.
     """
-    import re
-
-    def settle(label: str, start: int) -> str:
-        for rule in rules[start:]:
-            if label in rule.exact or (
-                    rule.patterns and re.search("|".join(rule.patterns), label)):
-                label = rule.label
-        return label
-
-    source = F.col(column)
-    case = None
+    branches = []
     for i, rule in enumerate(rules):
-        final = settle(rule.label, i + 1)
-        case = (F.when(rule.test(source), final) if case is None
-                else case.when(rule.test(source), final))
-    return df.withColumn(column, case.otherwise(source))
+        label = rule.label
+        for later in rules[i + 1:]:
+            if later.hits(label):
+                label = later.label
+        branches.append(f"WHEN {rule.test(column)} THEN {_literal(label)}")
+    return df.withColumn(column, F.expr(f"CASE {' '.join(branches)} ELSE {column} END"))
 
 
 def split_pick(column: ColumnLike, separator: str, index: int) -> Column:

@@ -102,7 +102,7 @@ def voucher_channels(blocks: DataFrame, models: DataFrame,
                       chain.select("model", "block_channel"), {"modelId": "model"})
     return chain.select(
         "voucher_code",
-        last_match("block_channel", VOUCHER_RULES, F.lit("Other")).alias("voucher_channel"))
+        last_match("block_channel", VOUCHER_RULES, "'Other'").alias("voucher_channel"))
 
 
 def funnel_channels(funnel: DataFrame) -> DataFrame:

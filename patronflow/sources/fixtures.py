@@ -50,8 +50,27 @@ TOPICS = ["CleaningQ", "DamagedI", "DriverB", "IroningQ", "MissingI",
           "Punctuality"]
 
 
+# Column types of the driver tables that are read; naming them saves a job per
+# read that would look them up.
+TABLES = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+              "props string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _pick(values: list, index: Column) -> Column:

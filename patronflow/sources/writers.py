@@ -26,4 +26,4 @@ def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -106,16 +106,16 @@ def test_device_class(spark, agent, want):
     assert one(spark, fn.device_class(F.lit(agent).cast("string"))) == want
 
 
-def label(spark, value, rules, default=None):
-    column = F.lit(value).cast("string")
-    return one(spark, fn.last_match(column, rules, column if default is None else F.lit(default)))
+def label(spark, value, rules, default="c"):
+    df = spark.createDataFrame([(value,)], "c string")
+    return df.select(fn.last_match("c", rules, default)).collect()[0][0]
 
 
 @pytest.mark.parametrize("rule", VOUCHER_RULES, ids=lambda r: r.label)
 def test_every_voucher_pattern_selects_its_label_or_a_later_one(spark, rule):
     later = [r.label for r in VOUCHER_RULES[VOUCHER_RULES.index(rule):]]
     df = spark.createDataFrame([(p,) for p in [*rule.patterns, *rule.exact]], "p string")
-    got = [r[0] for r in df.select(fn.last_match("p", VOUCHER_RULES, F.lit("Other"))).collect()]
+    got = [r[0] for r in df.select(fn.last_match("p", VOUCHER_RULES, "'Other'")).collect()]
     assert set(got) <= set(later)
 
 
@@ -124,7 +124,7 @@ def test_every_voucher_pattern_selects_its_label_or_a_later_one(spark, rule):
     ("CRM", "CRM-Campaign"), ("crm", "Other"), (None, "Other"), ("Mystery", "Other"),
     ("Free Friends SEM", "SEM"), ("Referral", "Refer a Friend")])
 def test_voucher_overlaps(spark, value, want):
-    assert label(spark, value, VOUCHER_RULES, "Other") == want
+    assert label(spark, value, VOUCHER_RULES, "'Other'") == want
 
 
 @pytest.mark.parametrize("value, want", [
@@ -150,6 +150,14 @@ def test_web_patterns_are_regular_expressions(spark):
         "Direct", "Direct", "SEO", None]
 
 
+def test_special_characters_in_rules(spark):
+    rules = [Rule("it's", ["a+b"]), Rule("x", ["it's"], exact=["back\\slash"]), Rule("y", ["q."])]
+    df = spark.createDataFrame([("aab",), ("a+b",), ("it's",), ("back\\slash",), ("q",), ("qq",)],
+                               "c string")
+    got = [r[0] for r in df.select(fn.last_match("c", rules, "c")).collect()]
+    assert got == ["it's", "a+b", "x", "x", "q", "y"]
+
+
 def test_cascade_sees_rewritten_values(spark):
     rules = [Rule("beta", ["alpha"]), Rule("gamma", ["eta"]), Rule("delta", ["zeta"])]
     df = spark.createDataFrame([("alpha",), ("zeta",), ("x",)], "c string")
