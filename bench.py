@@ -37,7 +37,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = get_session("patronflow-bench", master=f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
-        "spark.driver.memory": "12g"})
+        "spark.driver.memory": "12g",
+        # The tables are a few MB; keep all local cores busy on such small stages.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k"})
     spark.sparkContext.setLogLevel("ERROR")
 
     def seconds(name: str) -> float:

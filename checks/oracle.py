@@ -374,7 +374,7 @@ _PLAIN = {
                {number('TRY_CAST(ironing AS DOUBLE)', 'ironing')}, provider, public_reference,
                {number('newsletter::INT', 'newsletter_subscribed')},
                round(0.000317182 + coalesce(branch_credits, 0), 2) AS branch_credits, {number('recency')},
-               {number('frequency')}, {number('round_even(amount, 0)', 'amount')},
+               {number('frequency')}, {number('round_even(round_even(amount, 6), 0)', 'amount')},
                {number('rank_r')}, {number('rank_f')}, {number('rank_m')},
                {number('recency_points')}, {number('frequency_points')},
                {number('monetary_points')}, {number('score')}, {number('rfm_class')}, class_name,

@@ -8,10 +8,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (cast_numeric, count_distinct_na, days_between, device_class,
-                         first_name, fold_ascii, format_day, is_canceled,
-                         is_open, ratio, round_half_even, split_pick, strict_max,
-                         strict_min)
+from ..functions import (cast_numeric, days_between, device_class, first_name, fold_ascii,
+                         format_day, is_canceled, is_open, ratio, round_half_even,
+                         split_pick, strict_max, strict_min)
 from ..functions._cols import ColumnLike, as_col
 from ..functions.dates import day_of
 from ..operators.aggregates import first_by_key, first_last
@@ -87,7 +86,6 @@ def _order_features() -> list[Column]:
         F.sum(F.when(valid, 1)).alias("valid_orders"),
         F.sum(F.when(valid, F.col("voucher_code").isNotNull().cast("int")))
         .alias("vouchers_used"),
-        count_distinct_na("order").alias("total_orders"),
         strict_min("location").alias("city"),
         strict_min(device_class("user_agent")).alias("device"),
         F.sum(is_open("state")).alias("open_orders"),
@@ -95,11 +93,23 @@ def _order_features() -> list[Column]:
     ]
 
 
+def distinct_orders(orders: DataFrame) -> DataFrame:
+    """Distinct order references per customer; a missing one counts.
+
+    Kept apart from the other order features: next to a distinct count Spark
+    would carry all of them per (customer, order) through one more shuffle.
+    """
+    return (flat_orders(orders, "customer_id", "order").select("customer_id", "order")
+            .distinct().groupBy("customer_id")
+            .agg(F.count(F.lit(1)).alias("total_orders")))
+
+
 def order_summary(orders: DataFrame) -> DataFrame:
     """First, last, valid, open, canceled and distinct orders per customer."""
-    rows = flat_orders(orders, "customer_id", "order", "created_at", "state",
-                       "location", "voucher_code", "user_agent")
-    return rows.groupBy("customer_id").agg(*_order_features())
+    rows = flat_orders(orders, "customer_id", "created_at", "state", "location",
+                       "voucher_code", "user_agent")
+    summary = rows.groupBy("customer_id").agg(*_order_features())
+    return left_join(summary, distinct_orders(orders), "customer_id")
 
 
 def customer_status(valid_orders: ColumnLike) -> Column:
@@ -173,7 +183,7 @@ def cadence(df: DataFrame, as_of: date) -> DataFrame:
 
 
 def customer_features(orders: DataFrame, ratings: DataFrame) -> DataFrame:
-    """All order-based features in one pass per customer.
+    """All order-based features per customer.
 
     Orders are joined with their rating once and aggregated once: summary,
     class counts, marks and first provider share a single shuffle.
@@ -188,9 +198,10 @@ def customer_features(orders: DataFrame, ratings: DataFrame) -> DataFrame:
         first_last("provider", ("created_at", "order"))[0].alias("provider"))
     # Customers without a valid order have no class counts either.
     has_valid = F.col("valid_orders").isNotNull()
-    return features.withColumns({
+    features = features.withColumns({
         name: F.when(has_valid, F.col(name)) for name in SERVICE_CLASSES.values()
     }).withColumn("no_class", _no_class())
+    return left_join(features, distinct_orders(orders), "customer_id")
 
 
 def customer_360(customers: DataFrame, orders: DataFrame, ratings: DataFrame,
@@ -223,7 +234,9 @@ def customer_360(customers: DataFrame, orders: DataFrame, ratings: DataFrame,
         "subscriber_key": F.concat_ws("_", F.lit(SUBSCRIBER_PREFIX),
                                       F.col("customer_id").cast("string")),
         "first_name": first_name("name"),
-        "amount": round_half_even("amount", 0),
+        # A mean depends in its last bits on the order of summation; settle those
+        # first, so that a half is a half.
+        "amount": round_half_even(round_half_even("amount", 6), 0),
     })
     wide = cast_numeric(cadence(wide, as_of), NUMERIC)
     return wide.na.fill(0, subset=list(NUMERIC)).withColumns({
