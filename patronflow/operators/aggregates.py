@@ -37,10 +37,11 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
 
 def frequency_table(df: DataFrame, column: str) -> DataFrame:
     """Count and share per value; missing values are left out."""
-    total = df.agg(F.count(column).alias("total")).scalar()
-    return (df.where(F.col(column).isNotNull())
-            .groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("share", F.col("n") / total))
+    counts = (df.where(F.col(column).isNotNull())
+              .groupBy(column).agg(F.count(F.lit(1)).alias("n")))
+    # The total sums the counts, so it reuses their exchange: one scan.
+    total = counts.agg(F.sum("n").alias("total")).scalar()
+    return counts.withColumn("share", F.col("n") / total)
 
 
 def global_median(df: DataFrame, column: str) -> Column:

@@ -26,13 +26,16 @@ def pivot_wide(df: DataFrame, index: Sequence[str], column: str, value: str,
                values: Sequence | None = None, prefix: str = "") -> DataFrame:
     """Long to wide, one column per value of ``column``.
 
-    With ``values`` the columns are fixed and no extra job runs. Without, the
-    values present are looked up first. Each cell holds at most one row.
+    With ``values`` the columns are fixed and no extra job runs. Without, Spark
+    looks up the values present first (and refuses more than
+    ``spark.sql.pivotMaxValues``). Each cell holds at most one row.
     """
-    if values is None:
-        values = [r[0] for r in df.select(column).distinct().orderBy(column).collect()]
-    wide = df.groupBy(*index).pivot(column, list(values)).agg(F.first(value))
-    return wide.withColumnsRenamed({str(v): f"{prefix}{v}" for v in values})
+    groups = df.groupBy(*index)
+    pivoted = (groups.pivot(column) if values is None
+               else groups.pivot(column, list(values)))
+    wide = pivoted.agg(F.first(value))
+    return wide.withColumnsRenamed({c: f"{prefix}{c}" for c in wide.columns
+                                    if c not in index})
 
 
 def pivot_flags(df: DataFrame, index: Sequence[str], column: str,
