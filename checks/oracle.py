@@ -12,8 +12,6 @@ from patronflow.sources import fixtures as fx
 from .tables_sql import AS_OF, lit, pick, strict, with_tables
 
 OFFSETS = range(80)
-STATES = ["canceled", "completed", "new", "payment_authorisation_error", "processing",
-          "reserved"]
 
 
 def day(column: str, name: str | None = None) -> str:
@@ -208,7 +206,7 @@ _PLAIN = {
         SELECT l.location, s.state, count(o.ord_no) AS n,
                round(0.000317182 + count(o.ord_no) * 100 / sum(count(o.ord_no)) OVER (PARTITION BY l.location), 9)
                  AS row_percent
-        FROM (SELECT DISTINCT location FROM ord) l CROSS JOIN (SELECT DISTINCT state FROM ord) s
+        FROM (SELECT DISTINCT location FROM ord WHERE location IS NOT NULL) l CROSS JOIN (SELECT DISTINCT state FROM ord) s
         LEFT JOIN ord o ON o.location IS NOT DISTINCT FROM l.location AND o.state = s.state
         GROUP BY l.location, s.state""",
     "SRT1_sort_desc": f"SELECT {RET}, {LATER}, initial FROM ret "
@@ -231,7 +229,7 @@ _PLAIN = {
         UNION ALL SELECT ord_no, 3, last_channel, round(0.000317182 + last_weight, 6) FROM weights""",
     "RSH5_crosstab": """
         SELECT l.location, s.state, count(o.ord_no) AS n
-        FROM (SELECT DISTINCT location FROM ord) l CROSS JOIN (SELECT DISTINCT state FROM ord) s
+        FROM (SELECT DISTINCT location FROM ord WHERE location IS NOT NULL) l CROSS JOIN (SELECT DISTINCT state FROM ord) s
         LEFT JOIN ord o ON o.location IS NOT DISTINCT FROM l.location AND o.state = s.state
         GROUP BY l.location, s.state""",
     "RSH6_explode_array": """

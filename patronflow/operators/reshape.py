@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,8 @@ def pivot_wide(df: DataFrame, index: Sequence[str], column: str, value: str,
                values: Sequence | None = None, prefix: str = "") -> DataFrame:
     """Long to wide, one column per value of ``column``.
 
-    With ``values`` the columns are fixed and no extra job runs. Without, Spark
+    With ``values`` the columns are fixed, no extra job runs, and the caller
+    vouches that no other value is wanted. Without, Spark
     looks up the values present first (and refuses more than
     ``spark.sql.pivotMaxValues``). Each cell holds at most one row.
     """
@@ -60,21 +61,23 @@ def melt_pairs(df: DataFrame, ids: Sequence[str],
     return df.select(*ids, F.inline(F.array(*as_struct)))
 
 
-def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str],
-             as_long: bool = True) -> DataFrame:
-    """Dense counts of two categories, absent combinations as 0.
+def crosstab(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """Dense counts of two categories as (rows, columns, n).
 
-    ``values`` lists the possible column values; those that occur nowhere are
-    dropped from the long form. Long form: (rows, columns, n).
+    Every combination of observed values appears, absent ones with 0. Rows
+    missing either category are left out.
     """
-    wide = df.groupBy(rows).agg(*[
-        F.count_if(F.col(columns) == v).alias(v) for v in values])
-    if not as_long:
-        return wide
-    long = melt_pairs(wide, [rows], [(F.lit(v), F.col(f"`{v}`")) for v in values],
-                      names=(columns, "n"))
-    total = F.sum("n").over(Window.partitionBy(columns))
-    return long.withColumn("total", total).where("total > 0").drop("total")
+    pairs = (df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+             .groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n")))
+    cells = pairs.groupBy(rows).agg(
+        F.map_from_entries(F.collect_list(F.struct(columns, "n"))).alias("cells"))
+    # Read from the same cells, so that the counts are exchanged only once.
+    found = (cells.select(F.explode(F.map_keys("cells")).alias("value"))
+             .agg(F.collect_set("value").alias("found")).scalar())
+    return (cells.withColumn("found", found)
+            .select(rows, F.explode("found").alias(columns), "cells")
+            .select(rows, columns, F.coalesce(
+                F.try_element_at("cells", F.col(columns)), F.lit(0)).alias("n")))
 
 
 def explode_array(df: DataFrame, array: str, name: str) -> DataFrame:
