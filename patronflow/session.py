@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,14 +32,16 @@ def get_session(app_name: str = "patronflow", master: str | None = None,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh path in the folder every executor can reach.
+    """A fresh path in storage that the driver and every executor can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only when the
-    setting is missing (a local test session) a temporary folder is used.
+    The cluster names that storage in ``spark.checkpoint.dir``. Where it is
+    unset the warehouse folder is used, which Spark itself takes to be shared.
+    The path is deleted when the application ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="patronflow-")
-    return os.path.join(root, "patronflow", uuid.uuid4().hex)
+    root = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.sql.warehouse.dir"))
+    path = f"{root.rstrip('/')}/patronflow/{uuid.uuid4().hex}"
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
