@@ -27,7 +27,7 @@ from .components import components
 
 HASHES, TREES, LABEL = 128, 16, 16
 DEPTH, REGION = 2, 2048
-NEIGHBOURS = (2, 8, 32, 128, 512, 2048)
+NEIGHBOURS = (2, 6, 18, 54)
 _WORD2 = np.uint64(0xD1342543DE82EF95)
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -127,19 +127,22 @@ def region_pairs(labels: np.ndarray, roots: np.ndarray, most: int, fresh: bool):
 
     A row takes, in order, the next ``most`` rows that agree with it on at
     least half of the label and are of another component. In the first round
-    (``fresh``) every class is its own component; later rows look for ``most``
-    rows of each other component, both ways. Also returns the rows that had to
+    (``fresh``) every class is its own component. Later only rows outside the
+    largest component of the region look for partners, and take those that
+    agree most. Also returns the rows that had to
     leave agreeing rows out.
     """
     n = len(labels)
     left, right, full = [], [], []
+    names, sizes = np.unique(roots, return_counts=True)
+    main = names[np.argmax(sizes)]
     step = max(1, (1 << 21) // max(n, 1))
     for a in range(0, n - 1, step):
         b = min(n, a + step)
         agree = np.zeros((b - a, n), dtype=np.int16)
         for k in range(labels.shape[1]):
             agree += labels[a:b, k, None] == labels[None, :, k]
-        ok = agree >= labels.shape[1] // 2
+        ok = agree >= (labels.shape[1] // 2 if fresh else 11 * labels.shape[1] // 16)
         ok &= roots[a:b, None] != roots[None, :]
         if fresh:
             ok &= np.arange(a, b)[:, None] < np.arange(n)[None, :]
@@ -149,19 +152,13 @@ def region_pairs(labels: np.ndarray, roots: np.ndarray, most: int, fresh: bool):
             left.append(i + a)
             right.append(j)
             continue
-        for i in np.flatnonzero(ok.any(axis=1)):
+        for i in np.flatnonzero(ok.any(axis=1) & (roots[a:b] != main)):
             partners = np.flatnonzero(ok[i])
-            # the best agreeing partners of each other component
-            order = np.lexsort((-agree[i, partners], roots[partners]))
-            partners = partners[order]
-            new = np.r_[True, roots[partners][1:] != roots[partners][:-1]]
-            begin = np.maximum.accumulate(np.where(new, np.arange(len(partners)), 0))
-            rank = np.arange(len(partners)) - begin
-            if (rank >= most).any():
+            partners = partners[np.argsort(-agree[i, partners], kind="stable")]
+            if len(partners) > most:
                 full.append(np.array([i + a]))
-            partners = partners[rank < most]
-            left.append(np.full(len(partners), i + a))
-            right.append(partners)
+            left.append(np.full(min(len(partners), most), i + a))
+            right.append(partners[:most])
     none = np.zeros(0, np.int64)
     return (np.concatenate(left) if left else none, np.concatenate(right) if right else none,
             np.concatenate(full) if full else none)
