@@ -27,7 +27,7 @@ from .components import components
 
 HASHES, TREES, LABEL = 128, 16, 16
 DEPTH, REGION = 2, 2048
-NEIGHBOURS = (2, 6, 18, 54)
+NEIGHBOURS = (2, 8, 32)
 _WORD2 = np.uint64(0xD1342543DE82EF95)
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
