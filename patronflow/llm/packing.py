@@ -99,28 +99,69 @@ class WordTokens:
     """Ids of a text whose tokenizer drops white space between words.
 
     Words between blanks do not influence each other there, so each distinct
-    word is tokenized once (a bounded cache).
+    word is tokenized once (a bounded cache of id bytes). Words of letters alone
+    are one pre-token each and are tokenized many at a time; their ends show in
+    the ids. A tail of punctuation is a pre-token of its own.
     """
 
+    TAIL = ".,;:!?|*#$%&"
+    TOGETHER = 500
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {"": np.zeros(0, np.uint32)}
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.is_end[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {"": b""}
+
+    def _learn(self, new: list[str]) -> None:
+        plain = [w for w in new if w.isalpha()]
+        odd = [w for w in new if not w.isalpha()]
+        for at in range(0, len(plain), self.TOGETHER):
+            part = plain[at:at + self.TOGETHER]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) != len(part):  # letters that the tokenizer cuts or drops
+                odd += part
+                continue
+            data, begin = ids.tobytes(), 0
+            for word, end in zip(part, ends.tolist(), strict=True):
+                self.known[word] = data[4 * begin:4 * end]
+                begin = end
+        for word, e in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False), strict=True):
+            self.known[word] = np.array(e.ids, "<u4").tobytes()
+
+    def learn(self, words: set[str]) -> None:
+        known = self.known
+        if len(known) + 2 * len(words) > CACHE_WORDS:
+            known.clear()
+            known[""] = b""
+        stems: dict[str, str] = {}
+        parts: set[str] = set()
+        for word in words:
+            if word in known:
+                continue
+            stem = word.rstrip(self.TAIL)
+            if stem and len(stem) < len(word) and stem.isalpha():
+                stems[word] = stem
+                parts.update((stem, word[len(stem):]))
+            else:
+                parts.add(word)
+        self._learn([w for w in parts if w not in known])
+        for word, stem in stems.items():
+            known[word] = known[stem] + known[word[len(stem):]]
+
+    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+                 for t in texts]
+        new: set[str] = set()
+        for words in split:
+            new.update(words)
+        self.learn(new)
         known = self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                known[""] = np.zeros(0, np.uint32)
-                new = list(set(words) - {""})
-            for word, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False),
-                               strict=True):
-                known[word] = np.array(e.ids, np.uint32)
-        return np.concatenate([known[w] for w in words])
+        return [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in split]
 
 
 @lru_cache(maxsize=1)
@@ -144,8 +185,8 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         tokens = word_tokens(path)
         row, start, length, crc, total, parts = [], [], [], [], [], []
-        for k, value in enumerate(batch["text"].to_pylist()):
-            own = np.append(tokens(value or ""), np.uint32(END)).astype("<u4")
+        for k, own in enumerate(tokens.batch(batch["text"].to_pylist())):
+            own = np.append(own, np.uint32(END)).astype("<u4")
             for at in range(0, len(own), size):
                 part = own[at:at + size]
                 row.append(k)
