@@ -32,7 +32,7 @@ def equal_width_bin(column: ColumnLike, low: ColumnLike, high: ColumnLike,
         ((column - low) * n_bins >= (high - low) * i).cast("int")
         for i in range(n_bins + 1)
     )
-    return F.least(reached, F.lit(n_bins))
+    return F.when(column.isNotNull(), F.least(reached, F.lit(n_bins)))
 
 
 def recode(column: ColumnLike, labels: dict) -> Column:

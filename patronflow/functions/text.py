@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 import re
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
@@ -89,9 +90,24 @@ def first_name(column: ColumnLike) -> Column:
     return F.regexp_replace(as_col(column), " .*$", "")
 
 
-# Latin letters and their ASCII forms, one letter for one letter.
-_FOLD_FROM = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöøùúûüýÿŠšŽžĄąĆćĘęŁłŃńŚśŹźŻżČčĎďĚěŇňŘřŤťŮůĂăȘșȚțĞğİıŐőŰű"
-_FOLD_TO = "AAAAAACEEEEIIIINOOOOOOUUUUYaaaaaaceeeeiiiinoooooouuuuyySsZzAaCcEeLlNnSsZzZzCcDdEeNnRrTtUuAaSsTtGgIiOoUu"
+# Letters without a decomposition, quotes and dashes.
+_FOLD_PLAIN = {"Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Ø": "O", "ø": "o", "Ł": "L", "ł": "l",
+               "Ħ": "H", "ħ": "h", "ı": "i", "Ŧ": "T", "ŧ": "t", "ŋ": "n", "Ŋ": "N", "ƀ": "b",
+               "“": '"', "”": '"', "„": '"', "‘": "'", "’": "'", "‚": "'", "–": "-", "—": "-"}
+
+
+def _fold_table() -> dict[str, str]:
+    """One character for one: Latin-1, Extended-A and -B and Extended Additional
+    by their decomposition, then the fixed values."""
+    table = {}
+    for point in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        base = "".join(c for c in unicodedata.normalize("NFD", chr(point))
+                       if not unicodedata.combining(c))
+        if len(base) == 1 and base.isascii() and base != chr(point):
+            table[chr(point)] = base
+    return {**table, **_FOLD_PLAIN}
+
+
 # Letters that fold to two.
 _FOLD_PAIRS = {"ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe",
                "Þ": "TH", "þ": "th"}
@@ -99,7 +115,9 @@ _FOLD_PAIRS = {"ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe",
 
 def fold_ascii(column: ColumnLike) -> Column:
     """Latin letters to plain ASCII, with built-in expressions only."""
-    folded = F.translate(as_col(column), _FOLD_FROM, _FOLD_TO)
+    table = _fold_table()
+    folded = F.translate(as_col(column), "".join(table), "".join(table.values()))
+    folded = F.regexp_replace(folded, "\\p{M}", "")
     for letter, pair in _FOLD_PAIRS.items():
         folded = F.replace(folded, F.lit(letter), F.lit(pair))
     return folded

@@ -26,11 +26,16 @@ def pivot_wide(df: DataFrame, index: Sequence[str], column: str, value: str,
                values: Sequence | None = None, prefix: str = "") -> DataFrame:
     """Long to wide, one column per value of ``column``.
 
-    With ``values`` the columns are fixed, no extra job runs, and the caller
-    vouches that no other value is wanted. Without, Spark
+    With ``values`` the columns are fixed and no extra job runs; a row with
+    another value fails the query, nothing is dropped. Without, Spark
     looks up the values present first (and refuses more than
     ``spark.sql.pivotMaxValues``). Each cell holds at most one row.
     """
+    if values is not None:
+        known = F.col(column).isNull() | F.col(column).isin(list(values))
+        other = F.raise_error(F.concat(F.lit(f"{column} has a value without a column: "),
+                                       F.col(column).cast("string")))
+        df = df.withColumn(column, F.when(known, F.col(column)).otherwise(other))
     groups = df.groupBy(*index)
     pivoted = (groups.pivot(column) if values is None
                else groups.pivot(column, list(values)))

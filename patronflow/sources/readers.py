@@ -32,14 +32,19 @@ def scan(spark: SparkSession, path: str, fields: Sequence[str] | Mapping[str, st
 
 
 def scan_delimited(spark: SparkSession, path: str, schema: str,
-                   sep: str = ";") -> DataFrame:
+                   sep: str = ";", multi_line: bool = False) -> DataFrame:
     """Read a headered delimited extract with a fixed schema.
 
     The text ``NA`` is a missing value, as is a field left empty without
-    quotes; a quoted empty field stays an empty text.
+    quotes; a quoted empty field stays an empty text. Quotes inside a field are
+    doubled and blanks at its ends are kept. A row that does not fit the schema
+    fails the read. Fields with line breaks need ``multi_line``, which makes a
+    file unsplittable.
     """
     return (spark.read.schema(schema)
-            .options(sep=sep, header=True, nullValue="NA")
+            .options(sep=sep, header=True, nullValue="NA", quote='"', escape='"',
+                     ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+                     multiLine=multi_line, mode="FAILFAST")
             .csv(path))
 
 

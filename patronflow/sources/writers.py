@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame
 
 def write_report(df: DataFrame, path: str, sep: str = ",",
                  mode: str = "overwrite") -> None:
-    """Report table as headered CSV; missing values are written as ``NA``."""
+    """Report table as headered CSV; missing values are written as ``NA``.
+
+    Quotes inside a field are doubled, blanks at its ends are kept; a field with
+    a line break is quoted and needs a reader with ``multi_line``.
+    """
     (df.write.mode(mode)
-     .options(header=True, sep=sep, nullValue="NA")
+     .options(header=True, sep=sep, nullValue="NA", quote='"', escape='"',
+              ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
      .csv(path))
 
 
