@@ -10,9 +10,11 @@ sparse ones. A region is the run of neighbours that share at least
 :data:`REGION` rows: the depth adapts. Within its region a class takes the
 next neighbours in order that agree on half of the label.
 
-Candidates are confirmed on full shingle sets. Rounds with a growing number of
-neighbours follow for classes that had more agreeing neighbours than they could
-take, against other components only, until a round joins nothing more.
+Candidates are confirmed on full shingle sets. Where a class had more agreeing
+neighbours than it could take, its regions are searched again, against other
+components only and by the whole signature: :data:`ALIKE` of :data:`HASHES` minima
+must agree. The last of these rounds has no limit of neighbours, so each class
+meets every class of its regions that is alike and not yet of its component.
 """
 
 from __future__ import annotations
@@ -27,7 +29,10 @@ from .components import components
 
 HASHES, TREES, LABEL = 128, 16, 16
 DEPTH, REGION = 2, 2048
-NEIGHBOURS = (2, 8, 32)
+#: Neighbours a class takes in each round; None is all of them.
+NEIGHBOURS = (2, 8, None)
+#: Equal minima that a later round asks for: at similarity 0.8 fewer have a chance of 2e-6.
+ALIKE = 80
 _WORD2 = np.uint64(0xD1342543DE82EF95)
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -112,39 +117,43 @@ def describe(docs: DataFrame, text: str, width: int) -> DataFrame:
     return map_texts(docs, text, "id long, class binary, n_shingles long, signature binary", run)
 
 
-def _labels(classes: DataFrame) -> DataFrame:
+def _labels(classes: DataFrame, *more: str) -> DataFrame:
     """One row per class and tree: its signature in that tree's order."""
     step = 2 * (HASHES // TREES)
     twice = F.concat("signature", "signature")
-    return (classes.select("class", "root", F.explode(F.array(*[
+    return (classes.select("class", "root", *more, F.explode(F.array(*[
         F.struct(F.lit(t).alias("tree"), F.substring(twice, 1 + t * step, 2 * LABEL).alias("label"))
         for t in range(TREES)])).alias("_"))
-        .select("class", "root", F.col("_.tree").alias("tree"), F.col("_.label").alias("label")))
+        .select("class", "root", F.col("_.tree").alias("tree"), F.col("_.label").alias("label"), *more))
 
 
-def region_pairs(labels: np.ndarray, roots: np.ndarray, most: int, fresh: bool):
+def region_pairs(labels: np.ndarray, roots: np.ndarray, most: int | None,
+                 signatures: np.ndarray | None = None, sizes: np.ndarray | None = None,
+                 percent: int = 80):
     """Candidate pairs among the rows of one region, given in sorted order.
 
-    A row takes, in order, the next ``most`` rows that agree with it on at
-    least half of the label and are of another component. In the first round
-    (``fresh``) every class is its own component. Later only rows outside the
-    largest component of the region look for partners, and take those that
-    agree most. Also returns the rows that had to
-    leave agreeing rows out.
+    A row takes the next ``most`` rows that agree with it on at least half of
+    the label. With ``signatures`` (the later rounds) partners are of another
+    component, agree on :data:`ALIKE` minima of the whole signature and have a
+    set size that allows the similarity (``sizes``, within ``percent``); only rows outside the largest component of the region look for
+    them, which misses no pair of components, and take those that agree most.
+    Also returns the rows that had to leave partners out.
     """
     n = len(labels)
     left, right, full = [], [], []
-    names, sizes = np.unique(roots, return_counts=True)
-    main = names[np.argmax(sizes)]
+    names, members = np.unique(roots, return_counts=True)
+    main = names[np.argmax(members)]
     step = max(1, (1 << 21) // max(n, 1))
-    for a in range(0, n - 1, step):
+    for a in range(0, n - 1 if signatures is None else n, step):
         b = min(n, a + step)
+        if signatures is not None and (roots[a:b] == main).all():
+            continue
         agree = np.zeros((b - a, n), dtype=np.int16)
         for k in range(labels.shape[1]):
             agree += labels[a:b, k, None] == labels[None, :, k]
-        ok = agree >= (labels.shape[1] // 2 if fresh else 11 * labels.shape[1] // 16)
+        ok = agree >= labels.shape[1] // 2
         ok &= roots[a:b, None] != roots[None, :]
-        if fresh:
+        if signatures is None:
             ok &= np.arange(a, b)[:, None] < np.arange(n)[None, :]
             rank = np.cumsum(ok, axis=1, dtype=np.int32)
             i, j = np.nonzero(ok & (rank <= most))
@@ -154,11 +163,15 @@ def region_pairs(labels: np.ndarray, roots: np.ndarray, most: int, fresh: bool):
             continue
         for i in np.flatnonzero(ok.any(axis=1) & (roots[a:b] != main)):
             partners = np.flatnonzero(ok[i])
-            partners = partners[np.argsort(-agree[i, partners], kind="stable")]
-            if len(partners) > most:
+            own, other = sizes[i + a], sizes[partners]
+            partners = partners[100 * np.minimum(own, other) >= percent * np.maximum(own, other)]
+            alike = (signatures[partners] == signatures[i + a]).sum(axis=1)
+            partners, alike = partners[alike >= ALIKE], alike[alike >= ALIKE]
+            if most is not None and len(partners) > most:
+                partners = partners[np.argsort(-alike, kind="stable")[:most]]
                 full.append(np.array([i + a]))
-            left.append(np.full(min(len(partners), most), i + a))
-            right.append(partners[:most])
+            left.append(np.full(len(partners), i + a))
+            right.append(partners)
     none = np.zeros(0, np.int64)
     return (np.concatenate(left) if left else none, np.concatenate(right) if right else none,
             np.concatenate(full) if full else none)
@@ -187,9 +200,11 @@ def regions(rows: np.ndarray, depth: int):
                     yield s, min(s + REGION, y)
 
 
-def _candidates(labels: DataFrame, most: int, fresh: bool) -> DataFrame:
+def _candidates(labels: DataFrame, most: int | None, percent: int) -> DataFrame:
     """Candidate pairs ``a < b``; a row ``(a, NULL)`` marks a class that had to
-    leave agreeing neighbours out."""
+    leave agreeing neighbours out. Labels with signatures are of a later round."""
+    later = "signature" in labels.columns
+
     def run(it):
         kept: list[tuple] = []
 
@@ -201,6 +216,8 @@ def _candidates(labels: DataFrame, most: int, fresh: bool) -> DataFrame:
             label = np.concatenate([k[1] for k in kept])
             key = [x for k in kept for x in k[2]]
             root = np.concatenate([k[3] for k in kept])
+            whole = np.concatenate([k[4] for k in kept])
+            sizes = np.concatenate([k[5] for k in kept])
             kept = []
             end = len(key)
             if not final:  # the last region may go on in the next batch
@@ -210,10 +227,12 @@ def _candidates(labels: DataFrame, most: int, fresh: bool) -> DataFrame:
                     end = begin
                 else:  # a very dense region: half a window goes on
                     begin = end - REGION // 2
-                kept.append((tree[begin:], label[begin:], key[begin:], root[begin:]))
+                kept.append((tree[begin:], label[begin:], key[begin:], root[begin:], whole[begin:],
+                             sizes[begin:]))
             rows = np.concatenate([tree[:end, None], label[:end]], axis=1)
             for x, y in regions(rows, 1 + DEPTH):
-                i, j, full = region_pairs(label[x:y], root[x:y], most, fresh)
+                i, j, full = region_pairs(label[x:y], root[x:y], most, whole[x:y] if later else None,
+                                          sizes[x:y], percent)
                 if len(i) + len(full):
                     ka = [key[x + k] for k in i] + [key[x + k] for k in full]
                     kb = [key[x + k] for k in j] + [None] * len(full)
@@ -224,8 +243,11 @@ def _candidates(labels: DataFrame, most: int, fresh: bool) -> DataFrame:
         for batch in it:
             label = np.frombuffer(b"".join(batch["label"].to_pylist()), dtype=">u2").astype(
                 np.uint16).reshape(-1, LABEL)
+            whole = np.frombuffer(b"".join(batch["signature"].to_pylist()), dtype=">u2").reshape(
+                -1, HASHES) if later else np.zeros((batch.num_rows, 0), np.uint16)
             kept.append((batch["tree"].to_numpy().astype(np.uint16), label,
-                         batch["class"].to_pylist(), batch["root"].to_numpy()))
+                         batch["class"].to_pylist(), batch["root"].to_numpy(), whole,
+                         batch["n_shingles"].to_numpy()))
             size += batch.num_rows
             if size >= 8 * REGION:
                 yield from flush(False)
@@ -286,10 +308,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     filled = rows.filter(F.col("class").isNotNull())
     classes = store(filled.groupBy("class").agg(
         F.min("id").alias("low"), F.first("signature").alias("signature"),
+        F.first("n_shingles").alias("n_shingles"),
         F.xxhash64("class").alias("root")))
     active, links, checked, roots, texts = classes, None, None, None, None
     for turn, most in enumerate(NEIGHBOURS):
-        found = store(_candidates(_labels(active), most, turn == 0))
+        labels = _labels(active, "n_shingles", *["signature"] * bool(turn))
+        found = store(_candidates(labels, most, percent))
         pairs = found.filter(F.col("b").isNotNull())
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
@@ -302,9 +326,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 "class", F.col("low").alias("id")), width))
             texts = more if texts is None else texts.unionByName(more)
         new = store(_confirm(pairs, texts, width, percent))
-        fresh = new.limit(1).count()
-        if turn and not fresh:
-            break
         links = new if links is None else links.unionByName(new)
         checked = pairs if checked is None else checked.unionByName(pairs)
         roots = store(components(links))
