@@ -1,8 +1,8 @@
 """The SQL counterpart of every registered query (DuckDB dialect).
 
-Money, means and shares are rounded after a small shift, the same in
-``queries.tidy``. Without it a sum of cents over a power of two can sit on a
-rounding tie, and the last bit of the sum would decide.
+Money, means and shares are rounded as exact decimals, the same in ``queries.tidy``.
+The last bit of a sum depends on the order of adding, so a value is first brought to
+three digits more: one that sits on a rounding tie is then on it on both sides.
 """
 
 from __future__ import annotations
@@ -30,12 +30,12 @@ def matrix(value: str, prefix: str = "m") -> str:
 RET = f"{day('cohort', 'initial_cohort')}, {big('off', 'since_first_order')}"
 LATER = 'later AS "returning"'
 PERCENT4 = "round_even(later / initial, 4)"
-RFM = "customer, recency, frequency, round(0.000317182 + amount, 6) AS amount"
+RFM = "customer, recency, frequency, CAST(round(CAST(amount AS DECIMAL(38, 9)), 6) AS DOUBLE) AS amount"
 RANKS = f"{big('rank_r')}, {big('rank_f')}, {big('rank_m')}"
 POINTS = ", ".join(big(c) for c in ("recency_points", "frequency_points",
                                     "monetary_points", "score"))
 STAGE = (f"customer, segment, location, {day('first_order')}, {day('last_order')}, "
-         f"{big('orders')}, round(0.000317182 + gap, 6) AS gap")
+         f"{big('orders')}, CAST(round(CAST(gap AS DECIMAL(38, 9)), 6) AS DOUBLE) AS gap")
 FLOORS = ("NOT (location = 'de_berlin' AND cohort < DATE '1997-01-01') "
           "AND NOT (location = 'fr_paris' AND cohort < DATE '1998-05-01')")
 OPU_CITY = (f"SELECT {RET}, location, {big('orders')}, {big('customers')}, "
@@ -60,7 +60,7 @@ _PLAIN = {
         SELECT o_orderkey AS "order", o_custkey AS customer_id, {day('o_orderdate', 'created_at')}
         FROM orders''',
     "SRC2_scan_filtered": """
-        SELECT event_id, user_id, round(0.000317182 + value, 4) AS value FROM events
+        SELECT event_id, user_id, CAST(round(CAST(value AS DECIMAL(38, 7)), 4) AS DOUBLE) AS value FROM events
         WHERE event_type = 'purchase'""",
     "SRC3_csv_semicolon": """
         SELECT CAST(ord_no AS VARCHAR) AS order_reference, first_channel, last_channel
@@ -69,7 +69,7 @@ _PLAIN = {
         SELECT CAST(ord_no AS VARCHAR) AS "ga_transactionID", source AS ga_source,
                medium AS ga_medium, 'wash' AS ga_keyword FROM web""",
     "SRC5_load_intermediate": """
-        SELECT ord_no AS "order", customer, state, round(0.000317182 + gross, 2) AS gross FROM fact""",
+        SELECT ord_no AS "order", customer, state, CAST(round(CAST(gross AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross FROM fact""",
     "SNK1_write_csv": f"SELECT {RET}, {LATER}, initial FROM ret",
     "SNK2_save_intermediate": f"SELECT {STAGE} FROM stage_base",
 
@@ -89,14 +89,14 @@ _PLAIN = {
         SELECT ord_no AS "order", state, location, {big('is_valid')} FROM oo
         WHERE state = 'completed' AND location = 'gb_london'""",
     "FLT3_filter_conjunction_notnull": """
-        SELECT ord_no AS "order", round(0.000317182 + gross, 2) AS gross FROM fact
+        SELECT ord_no AS "order", CAST(round(CAST(gross AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross FROM fact
         WHERE is_valid = 1 AND gross IS NOT NULL""",
     "FLT4_date_range_slice": f"""
         SELECT ord_no AS "order", {day('day')} FROM ord
         WHERE ord.day > DATE '2001-06-01' AND ord.day <= DATE '2001-07-01'""",
     "FLT5_cohort_floor": OPU_CITY,
     "FLT6_drop_na_rows": f"""
-        SELECT {RET}, location, round(0.000317182 + later / nullif(initial, 0), 6) AS percent FROM rev_city
+        SELECT {RET}, location, CAST(round(CAST(later / nullif(initial, 0) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS percent FROM rev_city
         WHERE location IS NOT NULL AND later / nullif(initial, 0) IS NOT NULL""",
     "FLT7_open_cancel_flags": """
         SELECT ord_no AS "order",
@@ -108,7 +108,7 @@ _PLAIN = {
     "JN1_left_join_dim": 'SELECT ord_no AS "order", customer, segment FROM rows',
     "JN2_left_join_rate": f"""
         SELECT ord_no AS "order", {day('day', 'rate_date')},
-               round(0.000317182 + exchange_rate, 4) AS exchange_rate
+               CAST(round(CAST(exchange_rate AS DECIMAL(38, 7)), 4) AS DOUBLE) AS exchange_rate
         FROM ord LEFT JOIN rate ON ord.day = rate.rate_date""",
     "JN3_left_join_firstorder": f"""
         SELECT ord_no AS "order", {day('first_at', 'first_order')}
@@ -126,7 +126,7 @@ _PLAIN = {
                {', '.join(f'"{t}"' for t in fx.TOPICS)} FROM rating_first""",
     "JN9_star_join": f"""
         SELECT {STAR}, {CLASS_COUNTS}, public_reference, newsletter AS newsletter_subscribed,
-               round(0.000317182 + branch_credits, 2) AS branch_credits
+               CAST(round(CAST(branch_credits AS DECIMAL(38, 5)), 2) AS DOUBLE) AS branch_credits
         FROM cust c LEFT JOIN summary s ON c.customer_id = s.customer_id
              LEFT JOIN classes k ON c.customer_id = k.customer_id
              LEFT JOIN last_note n ON c.email = n.email
@@ -137,7 +137,7 @@ _PLAIN = {
     "AGG1_first_valid_order": f"SELECT customer_id, {day('first_at', 'first_order')} FROM first_id",
     "AGG2_minmax_count": f"""
         SELECT customer, {day('min(day)', 'first_order')}, {day('max(day)', 'last_order')},
-               {big('sum(is_valid)', 'orders')}, round(0.000317182 + avg(gross), 6) AS amount
+               {big('sum(is_valid)', 'orders')}, CAST(round(CAST(avg(gross) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS amount
         FROM fact WHERE is_valid = 1 GROUP BY customer""",
     "AGG3_conditional_count": f"""
         SELECT customer_id, count(voucher_code) AS vouchers,
@@ -149,19 +149,19 @@ _PLAIN = {
     "AGG5_sum_by_cohort": f"""
         SELECT {day('cohort', 'initial_cohort')}, {big('status')},
                {big('CASE WHEN status = 1 THEN off END', 'since_first_order')}, location,
-               round(0.000317182 + {strict('sum', 'gross')}, 2) AS revenue
+               CAST(round(CAST({strict('sum', 'gross')} AS DECIMAL(38, 5)), 2) AS DOUBLE) AS revenue
         FROM coh_ref GROUP BY cohort, status, CASE WHEN status = 1 THEN off END, location""",
     "AGG6_strict_min_max": f"""
         SELECT customer_id, {strict('min', 'location')} AS city,
                {strict('max', 'device')} AS device FROM oo GROUP BY customer_id""",
     "AGG7_median_global": """
-        SELECT round(0.000317182 + median(gap), 6) AS gap FROM stage_base WHERE orders > 1""",
+        SELECT CAST(round(CAST(median(gap) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS gap FROM stage_base WHERE orders > 1""",
     "AGG8_median_by_group": """
-        SELECT location, round(0.000317182 + median(gross), 4) AS median FROM fact
+        SELECT location, CAST(round(CAST(median(gross) AS DECIMAL(38, 7)), 4) AS DOUBLE) AS median FROM fact
         WHERE gross IS NOT NULL GROUP BY location""",
-    "AGG9_mean_by_group": "SELECT segment, round(0.000317182 + segment_gap, 6) AS segment_gap FROM seg_gap",
+    "AGG9_mean_by_group": "SELECT segment, CAST(round(CAST(segment_gap AS DECIMAL(38, 9)), 6) AS DOUBLE) AS segment_gap FROM seg_gap",
     "AGG10_quantiles": """
-        SELECT measure, CAST(p AS BIGINT) AS position, round(0.000317182 + b[p + 1], 4) AS value
+        SELECT measure, CAST(p AS BIGINT) AS position, CAST(round(CAST(b[p + 1] AS DECIMAL(38, 7)), 4) AS DOUBLE) AS value
         FROM (SELECT 'recency' AS measure, b_r AS b FROM rfm_breaks
               UNION ALL SELECT 'frequency', b_f FROM rfm_breaks
               UNION ALL SELECT 'amount', b_m FROM rfm_breaks) CROSS JOIN range(6) t(p)""",
@@ -177,21 +177,21 @@ _PLAIN = {
         SELECT id AS _id, concat({', '.join(f'"{t}"' for t in fx.TOPICS)}) AS marks FROM rating
         WHERE coalesce({', '.join(f'"{t}"' for t in fx.TOPICS)}) IS NOT NULL""",
     "AGG13_sum_weights": """
-        SELECT ord_no AS "order", final_channel, round(0.000317182 + sum_weight, 6) AS sum_weight
+        SELECT ord_no AS "order", final_channel, CAST(round(CAST(sum_weight AS DECIMAL(38, 9)), 6) AS DOUBLE) AS sum_weight
         FROM attributed""",
     "AGG14_group_by_month": f"""
         SELECT strftime(date_trunc('month', day), '%Y-%m-%d') AS month, location,
                count(DISTINCT customer) AS customers, {big('sum(is_valid)', 'orders')},
-               round(0.000317182 + sum(gross), 2) AS revenue
+               CAST(round(CAST(sum(gross) AS DECIMAL(38, 5)), 2) AS DOUBLE) AS revenue
         FROM fact GROUP BY date_trunc('month', day), location""",
     "AGG15_frequency_table": """
-        SELECT device, count(*) AS n, round(0.000317182 + count(*) / sum(count(*)) OVER (), 9) AS share
+        SELECT device, count(*) AS n, CAST(round(CAST(count(*) / sum(count(*)) OVER () AS DECIMAL(38, 12)), 9) AS DOUBLE) AS share
         FROM oo WHERE device IS NOT NULL GROUP BY device""",
     "AGG16_global_totals": f"""
         SELECT count(*) AS orders, {big('sum(is_valid)', 'valid_orders')},
                count(DISTINCT customer) AS customers,
                count(*) FILTER (location IS NULL) AS without_location,
-               round(0.000317182 + sum(gross), 2) AS gross FROM fact""",
+               CAST(round(CAST(sum(gross) AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross FROM fact""",
 
     "DED1_dedup_by_key": 'SELECT ord_no AS "order", network FROM network',
     "DED2_distinct_rows": """
@@ -204,7 +204,7 @@ _PLAIN = {
         FROM coh GROUP BY customer_id, coh.day, coh.first_order, cohort, status, off""",
     "WIN2_share_of_row_total": """
         SELECT l.location, s.state, count(o.ord_no) AS n,
-               round(0.000317182 + count(o.ord_no) * 100 / sum(count(o.ord_no)) OVER (PARTITION BY l.location), 9)
+               CAST(round(CAST(count(o.ord_no) * 100 / sum(count(o.ord_no)) OVER (PARTITION BY l.location) AS DECIMAL(38, 12)), 9) AS DOUBLE)
                  AS row_percent
         FROM (SELECT DISTINCT location FROM ord WHERE location IS NOT NULL) l CROSS JOIN (SELECT DISTINCT state FROM ord) s
         LEFT JOIN ord o ON o.location IS NOT DISTINCT FROM l.location AND o.state = s.state
@@ -224,9 +224,9 @@ _PLAIN = {
         FROM rating_first WHERE coalesce({', '.join(f'"{t}"' for t in fx.TOPICS)}) IS NOT NULL""",
     "RSH4_melt_pairs": """
         SELECT ord_no AS "order", 1::BIGINT AS touchpoint, voucher_channel AS channel,
-               round(0.000317182 + voucher_weight, 6) AS weight FROM weights
-        UNION ALL SELECT ord_no, 2, first_channel, round(0.000317182 + first_weight, 6) FROM weights
-        UNION ALL SELECT ord_no, 3, last_channel, round(0.000317182 + last_weight, 6) FROM weights""",
+               CAST(round(CAST(voucher_weight AS DECIMAL(38, 9)), 6) AS DOUBLE) AS weight FROM weights
+        UNION ALL SELECT ord_no, 2, first_channel, CAST(round(CAST(first_weight AS DECIMAL(38, 9)), 6) AS DOUBLE) FROM weights
+        UNION ALL SELECT ord_no, 3, last_channel, CAST(round(CAST(last_weight AS DECIMAL(38, 9)), 6) AS DOUBLE) FROM weights""",
     "RSH5_crosstab": """
         SELECT l.location, s.state, count(o.ord_no) AS n
         FROM (SELECT DISTINCT location FROM ord WHERE location IS NOT NULL) l CROSS JOIN (SELECT DISTINCT state FROM ord) s
@@ -285,7 +285,7 @@ _PLAIN = {
         FROM customer""",
     "FN13_null_fill": """
         SELECT ord_no AS "order", coalesce(location, 'not set') AS location,
-               round(0.000317182 + coalesce(gross, 0), 2) AS gross FROM fact""",
+               CAST(round(CAST(coalesce(gross, 0) AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross FROM fact""",
     "FN14_null_fill_from_column": """
         SELECT ord_no AS "order", coalesce(voucher_code, provider) AS code FROM ord""",
     "FN15_value_replace": """
@@ -299,7 +299,7 @@ _PLAIN = {
                round_even(o_totalprice / 7, 2) AS cents, round_even(o_orderkey / 2, 0) AS half
         FROM orders""",
     "FN17_ratio": """
-        SELECT o_orderkey, round(0.000317182 + o_totalprice / nullif(o_orderkey % 4, 0), 6) AS ratio
+        SELECT o_orderkey, CAST(round(CAST(o_totalprice / nullif(o_orderkey % 4, 0) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS ratio
         FROM orders""",
     "FN18_bin_by_breaks": """
         SELECT p_partkey, CAST(least(5, len(list_filter(b, lambda x: x <= p_size))) AS BIGINT) AS bin
@@ -318,18 +318,18 @@ _PLAIN = {
                CAST(user_agent IS NULL AS DOUBLE) AS flag FROM ord""",
     "FN22_cast_string": "SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS label FROM orders",
     "FN23_currency_convert": """
-        SELECT ord_no AS "order", round(0.000317182 + gross_after, 2) AS gross_after,
-               round(0.000317182 + gross, 2) AS gross_before, round(0.000317182 + net_after, 2) AS net_after,
-               round(0.000317182 + net_before, 2) AS net_before FROM fact""",
+        SELECT ord_no AS "order", CAST(round(CAST(gross_after AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross_after,
+               CAST(round(CAST(gross AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross_before, CAST(round(CAST(net_after AS DECIMAL(38, 5)), 2) AS DOUBLE) AS net_after,
+               CAST(round(CAST(net_before AS DECIMAL(38, 5)), 2) AS DOUBLE) AS net_before FROM fact""",
     "FN24_array_len_is_null": """
         SELECT c_custkey AS _id, c_custkey % 3 = 0 AS missing,
                nullif(c_custkey % 3, 0) AS n FROM customer""",
 
     "BIZ1_order_facts": f"""
         SELECT ord_no AS "order", customer_id, state, {day('created_at')}, location,
-               {big('is_valid')}, customer, segment, round(0.000317182 + net_after, 2) AS net_after,
-               round(0.000317182 + net_before, 2) AS net_before, round(0.000317182 + gross_after, 2) AS gross_after,
-               round(0.000317182 + gross, 2) AS gross_before, round(0.000317182 + exchange_rate, 4) AS exchange_rate
+               {big('is_valid')}, customer, segment, CAST(round(CAST(net_after AS DECIMAL(38, 5)), 2) AS DOUBLE) AS net_after,
+               CAST(round(CAST(net_before AS DECIMAL(38, 5)), 2) AS DOUBLE) AS net_before, CAST(round(CAST(gross_after AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross_after,
+               CAST(round(CAST(gross AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross_before, CAST(round(CAST(exchange_rate AS DECIMAL(38, 7)), 4) AS DOUBLE) AS exchange_rate
         FROM fact""",
     "BIZ2_rfm_base": f"SELECT {RFM} FROM rfm_base",
     "BIZ3_rfm_rank": f"SELECT {RFM}, {RANKS} FROM rfm_rank",
@@ -371,7 +371,7 @@ _PLAIN = {
                {number('TRY_CAST(cleaning AS DOUBLE)', 'cleaning')},
                {number('TRY_CAST(ironing AS DOUBLE)', 'ironing')}, provider, public_reference,
                {number('newsletter::INT', 'newsletter_subscribed')},
-               round(0.000317182 + coalesce(branch_credits, 0), 2) AS branch_credits, {number('recency')},
+               CAST(round(CAST(coalesce(branch_credits, 0) AS DECIMAL(38, 5)), 2) AS DOUBLE) AS branch_credits, {number('recency')},
                {number('frequency')}, {number('round_even(round_even(amount, 6), 0)', 'amount')},
                {number('rank_r')}, {number('rank_f')}, {number('rank_m')},
                {number('recency_points')}, {number('frequency_points')},
@@ -396,11 +396,11 @@ _PLAIN = {
     "BIZ18_touchpoint_join": """
         SELECT ord_no AS "order", voucher_channel, first_channel, last_channel FROM points""",
     "BIZ19_fractional_weights": """
-        SELECT ord_no AS "order", round(0.000317182 + voucher_weight, 6) AS voucher_weight,
-               round(0.000317182 + first_weight, 6) AS first_weight, round(0.000317182 + last_weight, 6) AS last_weight,
-               round(0.000317182 + rest_weight, 6) AS rest_weight FROM weights""",
+        SELECT ord_no AS "order", CAST(round(CAST(voucher_weight AS DECIMAL(38, 9)), 6) AS DOUBLE) AS voucher_weight,
+               CAST(round(CAST(first_weight AS DECIMAL(38, 9)), 6) AS DOUBLE) AS first_weight, CAST(round(CAST(last_weight AS DECIMAL(38, 9)), 6) AS DOUBLE) AS last_weight,
+               CAST(round(CAST(rest_weight AS DECIMAL(38, 9)), 6) AS DOUBLE) AS rest_weight FROM weights""",
     "BIZ21_attribution_report": f"""
-        SELECT customer_id, ord_no AS "order", final_channel, round(0.000317182 + sum_weight, 6) AS sum_weight,
+        SELECT customer_id, ord_no AS "order", final_channel, CAST(round(CAST(sum_weight AS DECIMAL(38, 9)), 6) AS DOUBLE) AS sum_weight,
                {day('day', 'created_on')}, state, location, user_agent, {big('is_valid')}, device,
                {day('first_order')}, customer_status FROM attribution""",
     "BIZ22_ga_channel": 'SELECT ord_no AS "order", web_channel FROM web_channel',
@@ -418,16 +418,16 @@ _PLAIN = {
     "BIZ28_user_retention_by_city": f"""
         SELECT {RET}, location, {LATER}, initial, {PERCENT4} AS percent FROM ret_city""",
     "BIZ29_revenue_retention_long": f"""
-        SELECT {RET}, round(0.000317182 + later, 2) AS "returning", round(0.000317182 + initial, 2) AS initial,
-               round(0.000317182 + later / nullif(initial, 0), 6) AS percent FROM rev""",
+        SELECT {RET}, CAST(round(CAST(later AS DECIMAL(38, 5)), 2) AS DOUBLE) AS "returning", CAST(round(CAST(initial AS DECIMAL(38, 5)), 2) AS DOUBLE) AS initial,
+               CAST(round(CAST(later / nullif(initial, 0) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS percent FROM rev""",
     "BIZ29_revenue_retention_matrix": f"""
         SELECT {day('cohort', 'initial_cohort')}, location,
-               {matrix('round(0.000317182 + later / nullif(initial, 0), 6)')} FROM rev_city
+               {matrix('CAST(round(CAST(later / nullif(initial, 0) AS DECIMAL(38, 9)), 6) AS DOUBLE)')} FROM rev_city
         WHERE location IS NOT NULL AND later / nullif(initial, 0) IS NOT NULL
         GROUP BY cohort, location""",
     "BIZ29_revenue_retention_by_city": f"""
-        SELECT {RET}, location, round(0.000317182 + later, 2) AS "returning", round(0.000317182 + initial, 2) AS initial,
-               round(0.000317182 + later / nullif(initial, 0), 6) AS percent FROM rev_city""",
+        SELECT {RET}, location, CAST(round(CAST(later AS DECIMAL(38, 5)), 2) AS DOUBLE) AS "returning", CAST(round(CAST(initial AS DECIMAL(38, 5)), 2) AS DOUBLE) AS initial,
+               CAST(round(CAST(later / nullif(initial, 0) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS percent FROM rev_city""",
     "BIZ30_orders_per_user_long": f"""
         SELECT {RET}, {big('orders')}, customers, round_even(orders / customers, 2) AS proportion
         FROM opu""",
@@ -442,30 +442,30 @@ _PLAIN = {
         SELECT {RET}, first_facility, {LATER}, {big('cohort_size', 'cohort')}
         FROM facility_cohorts""",
     "BIZ33_heat_breaks": f"""
-        SELECT {RET}, location, round(0.000317182 + later / initial, 9) AS percent,
+        SELECT {RET}, location, CAST(round(CAST(later / initial AS DECIMAL(38, 12)), 9) AS DOUBLE) AS percent,
                CAST(CASE WHEN initial IS NOT NULL THEN
                     len(list_filter(b, lambda x: x < later / initial)) END AS BIGINT) AS bucket
         FROM ret_city CROSS JOIN (SELECT quantile_cont(later / initial,
              [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]) AS b FROM ret)""",
     "BIZ34_stage_base": f"SELECT {STAGE} FROM stage_base",
     "BIZ35_gap_imputation": f"""
-        SELECT {STAGE}, round(0.000317182 + segment_gap, 6) AS segment_gap, round(0.000317182 + filled_gap, 6) AS filled_gap
+        SELECT {STAGE}, CAST(round(CAST(segment_gap AS DECIMAL(38, 9)), 6) AS DOUBLE) AS segment_gap, CAST(round(CAST(filled_gap AS DECIMAL(38, 9)), 6) AS DOUBLE) AS filled_gap
         FROM stage_gap""",
     "BIZ36_lifecycle_stage": f"""
-        SELECT {STAGE}, round(0.000317182 + segment_gap, 6) AS segment_gap, round(0.000317182 + filled_gap, 6) AS filled_gap,
+        SELECT {STAGE}, CAST(round(CAST(segment_gap AS DECIMAL(38, 9)), 6) AS DOUBLE) AS segment_gap, CAST(round(CAST(filled_gap AS DECIMAL(38, 9)), 6) AS DOUBLE) AS filled_gap,
                {big('since', 'since_last_order')}, stage, {big('lifespan')} FROM stage""",
     "BIZ37_stage_distribution": """
-        SELECT stage, count(*) AS n, round(0.000317182 + count(*) / sum(count(*)) OVER (), 9) AS share
+        SELECT stage, count(*) AS n, CAST(round(CAST(count(*) / sum(count(*)) OVER () AS DECIMAL(38, 12)), 9) AS DOUBLE) AS share
         FROM stage GROUP BY stage""",
     "BIZ38_stage_at_cutoffs": f"""
         SELECT customer, {day('first_order')}, {day('last_before')},
-               {big('n_before', 'orders_before')}, round(0.000317182 + gap_before, 6) AS gap_before,
+               {big('n_before', 'orders_before')}, CAST(round(CAST(gap_before AS DECIMAL(38, 9)), 6) AS DOUBLE) AS gap_before,
                since_before, former_stage, {day('first_after')}, {day('last_after')},
                {big('n_after', 'orders_after')}, {big('n', 'orders')}, since_after,
-               round(0.000317182 + gap_after, 6) AS gap_after, new_stage FROM tran""",
+               CAST(round(CAST(gap_after AS DECIMAL(38, 9)), 6) AS DOUBLE) AS gap_after, new_stage FROM tran""",
     "BIZ39_transition_matrix": """
         SELECT former_stage, new_stage, n,
-               round(0.000317182 + n * 100 / sum(n) OVER (PARTITION BY former_stage), 9) AS row_percent,
+               CAST(round(CAST(n * 100 / sum(n) OVER (PARTITION BY former_stage) AS DECIMAL(38, 12)), 9) AS DOUBLE) AS row_percent,
                concat(former_stage, 'InExisting') AS former_label,
                concat(new_stage, 'InNew') AS new_label FROM tmat""",
     "BIZ40_transition_report": "SELECT customer, former_stage, new_stage, location FROM tran",
@@ -473,24 +473,24 @@ _PLAIN = {
         SELECT customer, location, stage, first_channel, {day('first_order')}, {big('orders')},
                {day('last_order')}, {big('lifespan')} FROM life""",
     "BIZ42_lifespan_by_city": """
-        SELECT location, round(0.000317182 + lifespan, 6) AS lifespan,
-               round(0.000317182 + (SELECT median(lifespan) FROM life WHERE orders > 1), 6) AS overall
+        SELECT location, CAST(round(CAST(lifespan AS DECIMAL(38, 9)), 6) AS DOUBLE) AS lifespan,
+               CAST(round(CAST((SELECT median(lifespan) FROM life WHERE orders > 1) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS overall
         FROM life_city""",
     "BIZ43_orders_per_user_monthly": f"""
         SELECT {day('month')}, location, first_channel, customers, {big('orders')},
-               round(0.000317182 + orders_per_user, 9) AS orders_per_user FROM clv""",
+               CAST(round(CAST(orders_per_user AS DECIMAL(38, 12)), 9) AS DOUBLE) AS orders_per_user FROM clv""",
     "BIZ44_aov_monthly": f"""
-        SELECT {day('month')}, location, first_channel, round(0.000317182 + gross, 2) AS gross,
-               {big('priced_orders')}, round(0.000317182 + aov, 2) AS aov FROM clv""",
+        SELECT {day('month')}, location, first_channel, CAST(round(CAST(gross AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross,
+               {big('priced_orders')}, CAST(round(CAST(aov AS DECIMAL(38, 5)), 2) AS DOUBLE) AS aov FROM clv""",
     "BIZ45_clv": f"""
         SELECT {day('month')}, coalesce(location, '0') AS location,
                coalesce(first_channel, '0') AS first_channel, customers, {big('orders')},
-               round(0.000317182 + coalesce(gross, 0), 2) AS gross,
+               CAST(round(CAST(coalesce(gross, 0) AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross,
                {big('coalesce(priced_orders, 0)', 'priced_orders')},
-               round(0.000317182 + orders_per_user, 9) AS orders_per_user, round(0.000317182 + coalesce(aov, 0), 2) AS aov,
-               round(0.000317182 + coalesce(lifespan, 0), 6) AS lifespan,
-               round(0.000317182 + coalesce(final_lifespan, 0), 6) AS final_lifespan,
-               round(0.000317182 + coalesce(aov * final_lifespan / 30 * orders_per_user, 0), 2) AS clv
+               CAST(round(CAST(orders_per_user AS DECIMAL(38, 12)), 9) AS DOUBLE) AS orders_per_user, CAST(round(CAST(coalesce(aov, 0) AS DECIMAL(38, 5)), 2) AS DOUBLE) AS aov,
+               CAST(round(CAST(coalesce(lifespan, 0) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS lifespan,
+               CAST(round(CAST(coalesce(final_lifespan, 0) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS final_lifespan,
+               CAST(round(CAST(coalesce(aov * final_lifespan / 30 * orders_per_user, 0) AS DECIMAL(38, 5)), 2) AS DOUBLE) AS clv
         FROM clv""",
 }
 _PLAIN["BIZ20_attribution_long"] = _PLAIN["AGG13_sum_weights"]

@@ -24,7 +24,6 @@ AS_OF = date(2001, 9, 1)
 TRANSITION_AS_OF = date(2001, 7, 15)
 FLOORS = {"de_berlin": date(1997, 1, 1), "fr_paris": date(1998, 5, 1)}
 OFFSETS = list(range(80))
-OFF_TIE = 0.000317182  # see checks/oracle.py
 
 
 class Inputs:
@@ -117,7 +116,8 @@ def tidy(df: DataFrame, **digits: int) -> DataFrame:
     for name, kind in df.dtypes:
         column = F.col(f"`{name}`")
         if name in digits:
-            column = F.round(column.cast("double") + OFF_TIE, digits[name])
+            exact = column.cast("double").cast(f"decimal(38,{digits[name] + 3})")
+            column = F.round(exact, digits[name]).cast("double")
         elif kind in ("tinyint", "smallint", "int"):
             column = column.cast("bigint")
         elif kind in ("date", "timestamp", "timestamp_ntz"):

@@ -30,3 +30,12 @@ def test_query_matches_sql(spark, connection, name):
     wrong = difference(contract.queries()[name](spark, SF), connection,
                        contract.oracle_sql()[name])
     assert wrong is None, wrong
+
+
+def test_registered_results_are_not_shifted(spark):
+    weights = contract.queries()["BIZ19_fractional_weights"](spark, SF).collect()
+    parts = ("voucher_weight", "first_weight", "last_weight", "rest_weight")
+    assert any(r["rest_weight"] == 0.01 for r in weights)
+    for row in weights:
+        total = sum(row[p] for p in parts)
+        assert abs(total - 1) < 1e-5 or total == 0, row
