@@ -82,6 +82,23 @@ def test_region_depth_adapts():
     assert {k for a, b in found for k in range(a, b)} == set(range(6000))
 
 
+def test_last_round_takes_all_alike_neighbours():
+    n = 300
+    labels = np.ones((n, neardup.LABEL), np.uint16)
+    signatures = np.ones((n, neardup.HASHES), np.uint16)
+    signatures[0, :neardup.HASHES - neardup.ALIKE + 1] = 7  # one minimum short of alike
+    sizes, roots = np.full(n, 100), np.arange(n)
+    sizes[1] = 79  # too small for 0.8 of the others
+    left, right, full = neardup.region_pairs(labels, roots, None, signatures, sizes)
+    pairs = {(min(a, b), max(a, b)) for a, b in zip(left.tolist(), right.tolist(), strict=True)}
+    assert not len(full)
+    assert pairs == {(a, b) for a in range(2, n) for b in range(a + 1, n)}
+    _, _, full = neardup.region_pairs(labels, roots, 8, signatures, sizes)
+    assert len(full)
+    roots[:] = 5  # one component: nothing left to link
+    assert not len(neardup.region_pairs(labels, roots, None, signatures, sizes)[0])
+
+
 def test_warc_round_trip(spark, nothing):
     pages = spark.createDataFrame(
         [(1, "http://a", "x"), (2, "http://b\r\nWARC-Type: x", "x"), (3, None, None), (4, "", ""),
