@@ -11,28 +11,32 @@ sparse ones. A region is the run of neighbours that share at least
 next neighbours in order that agree on half of the label.
 
 Candidates are confirmed on full shingle sets. Where a class had more agreeing
-neighbours than it could take, its regions are searched again, against other
-components only and by the whole signature: :data:`ALIKE` of :data:`HASHES` minima
-must agree. The last of these rounds has no limit of neighbours, so each class
-meets every class of its regions that is alike and not yet of its component.
+neighbours than it could take, and where a region was cut (by a longer prefix,
+a window or a partition border), all classes of the region at :data:`DEPTH` are
+searched again, against other components only: once by the whole signature
+(:data:`ALIKE` of :data:`HASHES` minima must agree), then by the shingles
+themselves (:func:`_rare_pairs`), which needs neither regions nor chance.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, free_name, map_texts, mix, store
+from .common import Words, batches, free_name, map_texts, mix, store
 from .components import components
 
 HASHES, TREES, LABEL = 128, 16, 16
 DEPTH, REGION = 2, 2048
-#: Neighbours a class takes in each round; None is all of them.
-NEIGHBOURS = (2, 8, None)
+#: Neighbours a class takes in each round of the forest.
+NEIGHBOURS = (2, 8)
 #: Equal minima that a later round asks for: at similarity 0.8 fewer have a chance of 2e-6.
 ALIKE = 80
+#: Counters of shingles by their low bits; they only set the order of shingles.
+COUNTERS = 1 << 18
 _WORD2 = np.uint64(0xD1342543DE82EF95)
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -177,6 +181,14 @@ def region_pairs(labels: np.ndarray, roots: np.ndarray, most: int | None,
             np.concatenate(full) if full else none)
 
 
+def cut_regions(rows: np.ndarray, depth: int) -> np.ndarray:
+    """First row of each run with one prefix of ``depth`` that :func:`regions`
+    cuts further, so that not all rows of the run meet."""
+    new = np.flatnonzero((rows[1:, :depth] != rows[:-1, :depth]).any(axis=1)) + 1
+    bounds = np.concatenate([[0], new, [len(rows)]])
+    return bounds[:-1][np.diff(bounds) > REGION]
+
+
 def regions(rows: np.ndarray, depth: int):
     """Bounds of the regions of sorted rows: the shared prefix is at least
     ``depth`` long, and longer where a region would be too large."""
@@ -200,13 +212,27 @@ def regions(rows: np.ndarray, depth: int):
                     yield s, min(s + REGION, y)
 
 
-def _candidates(labels: DataFrame, most: int | None, percent: int) -> DataFrame:
-    """Candidate pairs ``a < b``; a row ``(a, NULL)`` marks a class that had to
-    leave agreeing neighbours out. Labels with signatures are of a later round."""
+def _candidates(labels: DataFrame, most: int, percent: int) -> DataFrame:
+    """Candidate pairs ``a < b``. Rows without ``b`` mark what was not searched
+    whole: a class ``a`` that had to leave agreeing neighbours out, or a region
+    (``tree, prefix``) that was cut; with ``border`` the region begins or ends
+    that partition, so it was cut if another partition names it too. Labels with
+    signatures are of a later round."""
     later = "signature" in labels.columns
+    names = ["a", "b", "tree", "prefix", "border"]
+
+    def marks(tree, label, at, border):
+        n = len(at)
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
+             pa.array([int(tree[k]) for k in at], pa.int32()),
+             pa.array([label[k, :DEPTH].astype(">u2").tobytes() for k in at], pa.binary()),
+             pa.array([border] * n, pa.int32())], names)
 
     def run(it):
         kept: list[tuple] = []
+        part = TaskContext.get().partitionId()
+        last = None
 
         def flush(final: bool):
             nonlocal kept
@@ -220,6 +246,7 @@ def _candidates(labels: DataFrame, most: int | None, percent: int) -> DataFrame:
             sizes = np.concatenate([k[5] for k in kept])
             kept = []
             end = len(key)
+            cut = []
             if not final:  # the last region may go on in the next batch
                 same = (tree == tree[-1]) & (label[:, :DEPTH] == label[-1, :DEPTH]).all(axis=1)
                 begin = int(end - np.argmin(same[::-1])) if not same.all() else 0
@@ -227,39 +254,132 @@ def _candidates(labels: DataFrame, most: int | None, percent: int) -> DataFrame:
                     end = begin
                 else:  # a very dense region: half a window goes on
                     begin = end - REGION // 2
+                    cut = [begin]
                 kept.append((tree[begin:], label[begin:], key[begin:], root[begin:], whole[begin:],
                              sizes[begin:]))
             rows = np.concatenate([tree[:end, None], label[:end]], axis=1)
+            cut += cut_regions(rows, 1 + DEPTH).tolist() if end else []
+            if cut:
+                yield marks(tree, label, cut, None)
             for x, y in regions(rows, 1 + DEPTH):
                 i, j, full = region_pairs(label[x:y], root[x:y], most, whole[x:y] if later else None,
                                           sizes[x:y], percent)
-                if len(i) + len(full):
+                n = len(i) + len(full)
+                if n:
                     ka = [key[x + k] for k in i] + [key[x + k] for k in full]
                     kb = [key[x + k] for k in j] + [None] * len(full)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ka, pa.binary()), pa.array(kb, pa.binary())], ["a", "b"])
+                        [pa.array(ka, pa.binary()), pa.array(kb, pa.binary()), pa.nulls(n, pa.int32()),
+                         pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32())], names)
 
         size = 0
         for batch in it:
+            if not batch.num_rows:
+                continue
             label = np.frombuffer(b"".join(batch["label"].to_pylist()), dtype=">u2").astype(
                 np.uint16).reshape(-1, LABEL)
             whole = np.frombuffer(b"".join(batch["signature"].to_pylist()), dtype=">u2").reshape(
                 -1, HASHES) if later else np.zeros((batch.num_rows, 0), np.uint16)
-            kept.append((batch["tree"].to_numpy().astype(np.uint16), label,
-                         batch["class"].to_pylist(), batch["root"].to_numpy(), whole,
+            tree = batch["tree"].to_numpy().astype(np.uint16)
+            if last is None:
+                yield marks(tree, label, [0], part)
+            last = tree, label
+            kept.append((tree, label, batch["class"].to_pylist(), batch["root"].to_numpy(), whole,
                          batch["n_shingles"].to_numpy()))
             size += batch.num_rows
             if size >= 8 * REGION:
                 yield from flush(False)
                 size = len(kept[0][2]) if kept else 0
+        if last is not None:
+            yield marks(*last, [len(last[0]) - 1], part)
         yield from flush(True)
 
     parts = int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = (labels.repartitionByRange(max(parts, TREES), "tree", "label")
+    sorted_rows = (labels.repartitionByRange(max(parts, TREES), "tree", "label", "class")
                    .sortWithinPartitions("tree", "label", "class"))
-    pairs = sorted_rows.mapInArrow(run, "a binary, b binary")
-    return pairs.select(F.least("a", "b").alias("a"),
-                        F.when(F.col("b").isNotNull(), F.greatest("a", "b")).alias("b")).distinct()
+    pairs = sorted_rows.mapInArrow(run, "a binary, b binary, tree int, prefix binary, border int")
+    paired = F.col("b").isNotNull()
+    return pairs.select(F.when(paired, F.least("a", "b")).otherwise(F.col("a")).alias("a"),
+                        F.when(paired, F.greatest("a", "b")).alias("b"),
+                        "tree", "prefix", "border").distinct()
+
+
+def _rare_postings(rows: DataFrame, counts: np.ndarray, width: int, percent: int) -> DataFrame:
+    """``shingle, class, root, size, at`` of the shingles of each class that come
+    first, rare ones before frequent ones; ``at`` is the place in that order.
+
+    Of two sets with the similarity, the first shared shingle is among these in
+    both. Any order of shingles that is the same for all sets gives that.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values, first = shingles(Words(batch["text"]), width)
+        sizes = np.diff(first)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.lexsort((values, shared.value[(values % np.uint64(COUNTERS)).astype(np.int64)], doc))
+        at = np.arange(len(values)) - first[doc]
+        early = 100 * (sizes[doc] - at) >= percent * sizes[doc]
+        whose = pa.array(doc[early])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(values[order][early].view(np.int64)), batch["class"].take(whose),
+             batch["root"].take(whose), pa.array(sizes[doc][early].astype(np.int64)),
+             pa.array(at[early].astype(np.int64))], ["shingle", "class", "root", "size", "at"])
+
+    return map_texts(rows, "text", "shingle long, class binary, root long, size long, at long", run)
+
+
+def _counters(rows: DataFrame, width: int) -> np.ndarray:
+    """How often each counter is met by the shingles of the classes."""
+    def run(it):
+        counts = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in it:
+            for part in batches(batch, "text"):
+                values, _ = shingles(Words(part["text"]), width)
+                counts += np.bincount((values % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["counter", "n"])
+
+    found = rows.select("text").mapInArrow(run, "counter long, n long").groupBy("counter").agg(
+        F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(COUNTERS, dtype=np.int64)
+    counts[found["counter"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return counts
+
+
+def _rare_pairs(active: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs ``a < b`` of different components, none with the similarity left out
+    but by :data:`ALIKE`.
+
+    Both sets of a pair hold the shingle at which they meet first, and no more
+    than what follows it can be shared. So a template in many texts is not
+    paired where enough of each text is its own. In the list of a shingle the
+    members of its largest component do not look for each other.
+    """
+    rows = texts.join(active.select("class", "root"), "class")
+    listed = store(_rare_postings(rows, _counters(rows, width), width, percent))
+    lists = (listed.groupBy("shingle", "root").agg(F.count("*").alias("n"))
+             .groupBy("shingle").agg(F.max_by("root", F.struct("n", "root")).alias("main"),
+                                     F.count("*").alias("roots")).filter("roots > 1"))
+    met = store(listed.join(lists.select("shingle", "main"), "shingle"))
+    one = met.filter("root != main").drop("main").alias("x")
+    both = one.join(met.drop("main").alias("y"), F.col("x.shingle") == F.col("y.shingle"))
+    most = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
+    pairs = store(both.filter(
+        (F.col("x.root") != F.col("y.root"))
+        & (100 * most >= percent * (F.col("x.size") + F.col("y.size") - most))).select(
+        F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct())
+    signed = active.select("class", "signature")
+    beside = pairs.join(signed.toDF("a", "one"), "a").join(signed.toDF("b", "other"), "b")
+
+    def run(it):
+        for batch in it:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), dtype=np.uint16).reshape(-1, HASHES)
+                        for c in ("one", "other"))
+                yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= ALIKE))
+
+    return beside.mapInArrow(run, "a binary, b binary")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -311,31 +431,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.first("n_shingles").alias("n_shingles"),
         F.xxhash64("class").alias("root")))
     active, links, checked, roots, texts = classes, None, None, None, None
-    for turn, most in enumerate(NEIGHBOURS):
-        labels = _labels(active, "n_shingles", *["signature"] * bool(turn))
-        found = store(_candidates(labels, most, percent))
-        pairs = found.filter(F.col("b").isNotNull())
+    for turn, most in enumerate((*NEIGHBOURS, None)):
+        if most is None:  # all that were searched again, whatever their regions
+            texts = _with_texts(texts, active.select("class"), named, classes, width)
+            pairs = _rare_pairs(active, texts, width, percent)
+        else:
+            labels = _labels(active, "n_shingles", *["signature"] * bool(turn))
+            found = store(_candidates(labels, most, percent))
+            pairs = found.filter(F.col("b").isNotNull()).select("a", "b")
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = store(pairs)
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        if texts is not None:
-            wanted = store(wanted.join(texts, "class", "left_anti"))
-        if texts is None or wanted.limit(1).count():
-            more = store(_texts_of(named, classes.join(wanted, "class").select(
-                "class", F.col("low").alias("id")), width))
-            texts = more if texts is None else texts.unionByName(more)
+        texts = _with_texts(texts, pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(),
+                            named, classes, width)
         new = store(_confirm(pairs, texts, width, percent))
         links = new if links is None else links.unionByName(new)
         checked = pairs if checked is None else checked.unionByName(pairs)
         roots = store(components(links))
-        dense = found.filter(F.col("b").isNull()).select(F.col("a").alias("class")).distinct()
-        if turn + 1 == len(NEIGHBOURS) or not dense.limit(1).count():
+        if most is None:
             break
-        # only regions with crowded classes are searched again, all of their classes
-        crowded = active if turn else classes.join(
-            _crowded(_labels(classes), dense), "class", "left_semi")
-        active = store(_rooted(crowded.drop("root"), roots))
+        if not turn:  # only regions that were not searched whole are searched again, all of their classes
+            active = store(classes.join(_crowded(_labels(classes), found), "class", "left_semi"))
+            if not active.limit(1).count():
+                break
+        active = store(_rooted(active.drop("root"), roots))
     members = classes.drop("root").join(roots.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "low", F.coalesce("root", "class").alias("root"))
     lowest = members.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -358,15 +477,31 @@ def _rooted(classes: DataFrame, roots: DataFrame) -> DataFrame:
         *classes.columns, F.coalesce("found", F.xxhash64("class")).alias("root"))
 
 
-def _crowded(labels: DataFrame, dense: DataFrame) -> DataFrame:
+def _crowded(labels: DataFrame, found: DataFrame) -> DataFrame:
     """Classes that share a region (same tree and leading minima) with a class
-    that left neighbours out."""
+    that left neighbours out, or whose region was cut."""
     prefix = F.substring("label", 1, 2 * DEPTH).alias("prefix")
-    regions = labels.join(dense, "class", "left_semi").select("tree", prefix).distinct()
+    dense = found.filter(F.col("a").isNotNull() & F.col("b").isNull()).select(F.col("a").alias("class"))
+    marks = found.filter(F.col("prefix").isNotNull()).groupBy("tree", "prefix").agg(
+        F.count_distinct("border").alias("parts"), F.count_if(F.col("border").isNull()).alias("cut"))
+    regions = labels.join(dense.distinct(), "class", "left_semi").select("tree", prefix).union(
+        marks.filter("parts > 1 OR cut > 0").select("tree", "prefix")).distinct()
     return labels.select("class", "tree", prefix).join(
         regions, ["tree", "prefix"], "left_semi").select("class").distinct()
 
 
+def _with_texts(texts: DataFrame | None, wanted: DataFrame, named: DataFrame, classes: DataFrame,
+                width: int) -> DataFrame:
+    """``texts`` and the texts of the ``wanted`` classes that it lacks."""
+    if texts is not None:
+        wanted = store(wanted.join(texts, "class", "left_anti"))
+        if not wanted.limit(1).count():
+            return texts
+    more = store(_texts_of(named, classes.join(wanted, "class").select(
+        "class", F.col("low").alias("id")), width))
+    return more if texts is None else texts.unionByName(more)
+
+
 def _texts_of(named: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """``class, text``: a text of each class, found again by its smallest id.
     Rows that share an id are told apart by their set, computed anew."""
