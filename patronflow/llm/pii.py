@@ -10,7 +10,9 @@ name keeps the gender of its title.
 
 Two entities must not share a replacement, nor may a replacement be an entity of
 the corpus. This is checked over the distinct entities of the whole table: those
-in conflict are numbered anew until none is left, and their numbers
+in conflict are numbered anew until none is left (with its number a name gets
+more syllables, and from :data:`GROW` on other replacements more characters, so
+that there are always more replacements than entities), and their numbers
 (:data:`BROADCAST_ROWS` at most, else they are joined to the texts) go into the
 replacing pass.
 """
@@ -30,6 +32,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from .common import free_name, map_texts, store
 
 BROADCAST_ROWS = 100_000
+#: Number from which a replacement is longer than its entity by a character each.
+GROW = 4
 
 # Titles before names, with the gender they state.
 TITLES = {
@@ -166,15 +170,19 @@ def luhn(digits: str) -> bool:
 
 
 def surrogate(key: bytes, kind: str, entity: str, turn: int = 0) -> str:
-    """Replacement of a canonical entity, itself canonical."""
+    """Replacement of a canonical entity, itself canonical. The space of
+    replacements grows with ``turn``; that of IPv4 addresses goes from 10/8 to
+    the reserved 240/4, that of cards is beyond any corpus as it is."""
     draw = _stream(key, kind, entity, turn)
+    more = max(0, turn - GROW + 1)
     if kind == "email":
         local, _, domain = entity.partition("@")
         local = _letters(local, draw) if len(local) >= 6 else _letters(local + "xxxxxx"[len(local):], draw)
         labels = domain.split(".")
+        local += _letters("x" * more, draw)
         return f"{local}@{'.'.join(_letters(x, draw) for x in labels[:-1])}.example"
     if kind == "ip":
-        return "10." + ".".join(str(next(draw) % 254 + 1) for _ in range(3))
+        return (f"{next(draw) % 15 + 240}." if more else "10.") + ".".join(str(next(draw) % 254 + 1) for _ in range(3))
     if kind in ("card", "phone"):
         keep = 1
         body = entity[:keep] + _letters(entity[keep:], draw)
@@ -182,25 +190,25 @@ def surrogate(key: bytes, kind: str, entity: str, turn: int = 0) -> str:
             wanted = luhn(entity)
             body = next((body[:-1] + d for d in "0123456789" if luhn(body[:-1] + d)), body) if wanted else (
                 body if not luhn(body) else body[:-1] + str((int(body[-1]) + 1) % 10))
-        return body
+        return body + (_letters("0" * more, draw) if kind == "phone" else "")
     if kind.startswith("name"):
         script, gender = _script(entity), kind.partition(":")[2]
         first = NAMES[script][gender].split()
         syllables = FAMILY[script].split()
-        family = "".join(syllables[next(draw) % len(syllables)] for _ in range(3)) + _ENDS[script]
+        family = "".join(syllables[next(draw) % len(syllables)] for _ in range(3 + turn)) + _ENDS[script]
         parts = entity.split(" ")
         return (f"{first[next(draw) % len(first)]} {family}" if len(parts) > 1 else family).casefold()
     if re.fullmatch("[0-9a-f]+|[0-9A-F]+", entity):
         digits = "0123456789ABCDEF" if entity.isupper() else "0123456789abcdef"
-        return "".join(digits[next(draw) % 16] for _ in entity)
-    return _letters(entity, draw)
+        return "".join(digits[next(draw) % 16] for _ in range(len(entity) + more))
+    return _letters(entity + "x" * more, draw)
 
 
 def render(kind: str, mention: str, new: str) -> str:
     """The canonical replacement in the layout of the mention."""
     if kind in ("card", "phone"):
         digits = iter(new)
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join(next(digits) if c.isdigit() else c for c in mention) + "".join(digits)
     if kind.startswith("name"):
         words = [w[:1].upper() + w[1:] for w in new.split(" ")]
         return " ".join(words).upper() if mention.isupper() else " ".join(words)
@@ -243,8 +251,8 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
     In each round the replacements of the table are compared with each other
     and with all entities; the smallest entity of a conflict keeps its own
     unless it is a real one, the others take the next number. Ends when a round
-    finds no conflict; each number has a small chance of a new conflict, so
-    conflicts fall by orders of magnitude a round.
+    finds no conflict; the replacements to draw from become more with each
+    number, so conflicts fall by orders of magnitude a round.
     """
     group = F.substring_index("kind", ":", 1)
     now = store(_with_surrogates(found.select("kind", "entity", F.lit(0).alias("turn")), key))

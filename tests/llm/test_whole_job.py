@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from patronflow.llm import neardup
+from patronflow.llm import neardup, pii
 
 
 def test_cut_regions_are_searched_again(spark):
@@ -46,3 +46,22 @@ def test_search_by_rare_shingles_misses_no_pair(spark):
            for r in neardup._rare_pairs(active, named, 2, 80).collect()}
     assert alike and alike <= got
     assert len(got) < 3 * len(alike)
+
+
+def test_more_entities_than_one_space_of_surrogates(spark):
+    """More titled names than three syllables make, all ends of a short phone
+    number, and a secret without a letter, whose surrogate would be itself."""
+    greek = "αβγδεζηθικ"
+    rows = [("name:m", "α" + "".join(greek[int(c)] for c in f"{k:04d}")) for k in range(1500)]
+    rows += [("name:f", "β" + "".join(greek[int(c)] for c in f"{k:04d}")) for k in range(500)]
+    rows += [("phone", f"1{k:03d}") for k in range(1000)]
+    rows += [("secret", "________"), ("email", "______@a.com"), ("ip", "9.9.9.9")]
+    done = pii.assign(spark.createDataFrame(rows, "kind string, entity string"), b"k").collect()
+    assert len(done) == len(rows)
+    real = {(k[:4], e) for k, e in rows}
+    new = {(r.kind[:4], r.new) for r in done}
+    assert len(new) == len(rows) and not new & real
+    assert max(r.turn for r in done) < 12
+    longer = next(r for r in done if r.kind == "phone" and len(r.new) > 4)
+    mention = f"({longer.entity[:2]}) {longer.entity[2:]}"
+    assert pii.canonical("phone", pii.render("phone", mention, longer.new)) == longer.new
