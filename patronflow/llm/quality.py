@@ -2,8 +2,10 @@
 
 Fixed base rules throw out broken texts. The verdict on the others compares
 each measure with thresholds learned from the documents themselves, per
-language and source: median plus or minus :data:`SPREADS` times the distance
-between the median and the quartile on that side. Quantiles come from a
+language and source: the quantile :data:`TAIL` at either end, but no closer to
+the median than :data:`FLOOR`. Where junk is more than a tail of its group, the
+limit is median plus or minus :data:`SPREADS` times the distance between the
+median and the quartile on that side (:data:`SLACK` at least). Quantiles come from a
 mergeable sketch: counts of logarithmic bins (16 per power of two, so at most
 1/16 relative error), which add up over tasks, sources and languages in any
 order, with the same result whatever executors are lost. A group with fewer
@@ -25,7 +27,11 @@ SYMBOLS = "#*$%&|<>"
 LEAST_ROWS = 200
 SPREADS = 8
 MEASURES = ("symbol_rate", "dup_line_rate", "repeat_rate", "word_length")
+#: Share of a group's documents beyond the limit at either end.
+TAIL = 0.01
 #: Smallest distance from the median that can fail, in the measure's unit.
+FLOOR = {"symbol_rate": 50, "dup_line_rate": 50, "repeat_rate": 50, "word_length": 30}
+#: Least width of the limit by quartiles, as most quartiles are all 0.
 SLACK = {"symbol_rate": 250, "dup_line_rate": 300, "repeat_rate": 180, "word_length": 300}
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 BROADCAST_ROWS = 100_000
@@ -149,19 +155,27 @@ def limits(sketch: DataFrame) -> DataFrame:
     group = ("level", "lang", "source", "measure")
     order = Window.partitionBy(*group).orderBy("bin")
     ranked = sketch.select(*group, value_of(F.col("bin")).alias("value"), "n",
+                           (value_of(F.col("bin") + 1) - 1).alias("last"),
                            F.sum("n").over(order).alias("upto"),
                            F.sum("n").over(Window.partitionBy(*group)).alias("total"))
 
-    def quantile(p: float) -> Column:
-        return F.min(F.when(F.col("upto") >= F.lit(p) * F.col("total"), F.col("value")))
+    def quantile(p: float, end: str = "value") -> Column:
+        return F.min(F.when(F.col("upto") >= F.lit(p) * F.col("total"), F.col(end)))
 
     q = ranked.groupBy(*group).agg(F.max("total").alias("n"), quantile(0.25).alias("q1"),
-                                   quantile(0.5).alias("q2"), quantile(0.75).alias("q3"))
-    slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])[F.col("measure")]
+                                   quantile(0.5).alias("q2"), quantile(0.75).alias("q3"),
+                                   quantile(TAIL).alias("first"), quantile(1 - TAIL, "last").alias("last"))
+
+    def of_measure(table: dict[str, int]) -> Column:
+        return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[F.col("measure")]
+
+    slack, floor = of_measure(SLACK), of_measure(FLOOR)
     ends = q.select(
         *group, "n",
-        (F.col("q2") - F.greatest(SPREADS * (F.col("q2") - F.col("q1")), slack)).alias("low"),
-        (F.col("q2") + F.greatest(SPREADS * (F.col("q3") - F.col("q2")), slack)).alias("high"))
+        F.greatest(F.col("q2") - F.greatest(SPREADS * (F.col("q2") - F.col("q1")), slack),
+                   F.least("first", F.col("q2") - floor)).alias("low"),
+        F.least(F.col("q2") + F.greatest(SPREADS * (F.col("q3") - F.col("q2")), slack),
+                F.greatest("last", F.col("q2") + floor)).alias("high"))
 
     def of(name: str, column: str) -> Column:
         return F.max(F.when(F.col("measure") == name, F.col(column)))

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from patronflow.llm import neardup, pii
+from patronflow.llm import neardup, pii, quality
 
 
 def test_cut_regions_are_searched_again(spark):
@@ -65,3 +65,20 @@ def test_more_entities_than_one_space_of_surrogates(spark):
     longer = next(r for r in done if r.kind == "phone" and len(r.new) > 4)
     mention = f"({longer.entity[:2]}) {longer.entity[2:]}"
     assert pii.canonical("phone", pii.render("phone", mention, longer.new)) == longer.new
+
+
+def test_limits_follow_the_source(spark):
+    """Repeated lines up to 40 per mille in one source, 240 in the other, and
+    one document of 150 in each: out of the ordinary in the first alone."""
+    rows = [(k, source, 1000, 5000, 0, (k * top) // 300, 0, 1000)
+            for source, top in (("calm", 40), ("noisy", 240)) for k in range(300)]
+    rows += [(900, source, 1000, 5000, 0, 150, 0, 1000) for source in ("calm", "noisy")]
+    measured = spark.createDataFrame(rows, "id long, source string, n_words long, word_chars long, "
+                                     "n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long")
+    measured = measured.selectExpr("*", "'en' AS lang")
+    ends = quality.limits(quality.sketches(measured, "lang", "source"))
+    kept = {r.source: r.kept for r in quality.with_verdict(measured, ends, "lang", "source")
+            .filter("id = 900").collect()}
+    assert kept == {"calm": False, "noisy": True}
+    share = quality.with_verdict(measured, ends, "lang", "source").filter("kept").count() / len(rows)
+    assert share > 0.97
