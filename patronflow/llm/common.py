@@ -130,11 +130,11 @@ def batches(texts: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator
 
 
 def map_texts(df: DataFrame, column: str, schema: str,
-              f: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> DataFrame:
+              f: Callable[[pa.RecordBatch], pa.RecordBatch | None], most: int = 8 << 20) -> DataFrame:
     """Apply ``f`` to Arrow batches of bounded text size."""
     def run(it):
         for batch in it:
-            for part in batches(batch, column):
+            for part in batches(batch, column, most):
                 out = f(part)
                 if out is not None and out.num_rows:
                     yield out

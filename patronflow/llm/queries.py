@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, langid, mixing, neardup, packing, pii, quality, tokencount, warc, winnow
+from . import (brown, langid, mixing, neardup, negatives, packing, pii, quality, runs, tokencount,
+               urlfilter, warc, winnow)
 from .common import table
 
 SURROGATE_KEY = b"change this key"
@@ -75,6 +76,57 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                    public_tokenizers.path("piece_bpe_32k.model"))
 
 
+# (host, start of the path, verdict)
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow")]
+
+
+def op11_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.range(1).select(F.inline(F.array(*[F.struct(
+        F.lit(host).alias("host"), F.lit(path).alias("path"), F.lit(verdict).alias("verdict"))
+        for host, path, verdict in URL_RULES])))
+    return urlfilter.judge(table(spark, folder, "pages"), rules)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: where crc32 of the id ends in 0, the words from ``a`` on
+    repeat the ``p`` words that start there."""
+    blanks, h = F.lit(" \t\n\x0b\x0c\r"), F.crc32(F.col("doc_id").cast("string"))
+    trimmed = F.btrim("text", blanks)
+    split = docs.select("doc_id", "text", F.when((h % 10 == 0) & (trimmed != ""), F.split(
+        trimmed, "[\\x20\\x09-\\x0D]+")).alias("words"), F.floor(h / 10).alias("g"))
+    n = F.size("words")
+    dealt = split.select("doc_id", "text", "words", (F.col("g") % F.greatest(n, F.lit(1))).cast("int").alias("a"),
+                         "g")
+    dealt = dealt.select("doc_id", "text", "words", "a", (
+        F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + F.col("g") % 8))).cast("int").alias("p"))
+    again = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return dealt.select("doc_id", F.when(F.col("words").isNull(), F.col("text")).otherwise(
+        F.array_join(again, " ")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(with_planted_runs(table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("q"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = found.select("doc_id", "runs", "collapsed", longest.alias("best"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"), (-F.col("best.q")).alias("period"),
+        F.floor(F.lit(1000) * F.col("best.n") / -F.col("best.q")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.whole_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding", noisy)
+    return negatives.mine(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_warc_round_trip, op3_language, op4_class_model, op5_quality_rules,
-    op6_winnowing, op7_packing, op8_surrogates, op9_mixing, op10_token_counts)}
+    op6_winnowing, op7_packing, op8_surrogates, op9_mixing, op10_token_counts,
+    op11_url_rules, op12_periodic_runs, op13_hard_negatives)}

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator():
     names = [n for n in contract.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
