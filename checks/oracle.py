@@ -11,8 +11,6 @@ from patronflow.sources import fixtures as fx
 
 from .tables_sql import AS_OF, lit, pick, strict, with_tables
 
-OFFSETS = range(80)
-
 
 def day(column: str, name: str | None = None) -> str:
     return f"strftime({column}, '%Y-%m-%d') AS {name or column}"
@@ -22,14 +20,23 @@ def big(column: str, name: str | None = None) -> str:
     return f"CAST({column} AS BIGINT) AS {name or column}"
 
 
-def matrix(value: str, prefix: str = "m") -> str:
-    return ", ".join(f"max(CASE WHEN off = {k} THEN {value} END) AS {prefix}{k}"
-                     for k in OFFSETS)
+def matrix(source: str, value: str, cohort: str = day("cohort", "initial_cohort"),
+           *by: str) -> str:
+    """Wide form with the columns that the data has."""
+    rows = f"SELECT {', '.join([cohort, *by])}, off, {value} AS value FROM {source}"
+    keys = ", ".join(["initial_cohort", *by])
+    return f"PIVOT ({rows}) ON ('m' || off) USING max(value) GROUP BY {keys}"
 
 
 RET = f"{day('cohort', 'initial_cohort')}, {big('off', 'since_first_order')}"
 LATER = 'later AS "returning"'
 PERCENT4 = "round_even(later / initial, 4)"
+MONTH = "strftime(cohort, '%b %Y') AS initial_cohort"
+PERCENT6 = "CAST(round(CAST(later / nullif(initial, 0) AS DECIMAL(38, 9)), 6) AS DOUBLE)"
+USERS = f"{RET}, {LATER}, initial, {PERCENT4} AS percent"
+REVENUE = (f'{RET}, CAST(round(CAST(later AS DECIMAL(38, 5)), 2) AS DOUBLE) AS "returning", '
+           f"CAST(round(CAST(initial AS DECIMAL(38, 5)), 2) AS DOUBLE) AS initial, {PERCENT6} AS percent")
+PER_USER = f"{RET}, {big('orders')}, customers, round_even(orders / customers, 2) AS proportion"
 RFM = "customer, recency, frequency, CAST(round(CAST(amount AS DECIMAL(38, 9)), 6) AS DOUBLE) AS amount"
 RANKS = f"{big('rank_r')}, {big('rank_f')}, {big('rank_m')}"
 POINTS = ", ".join(big(c) for c in ("recency_points", "frequency_points",
@@ -211,9 +218,7 @@ _PLAIN = {
         GROUP BY l.location, s.state""",
     "SRT1_sort_desc": f"SELECT {RET}, {LATER}, initial FROM ret "
                       "ORDER BY cohort DESC, off DESC",
-    "RSH1_pivot_wide": f"""
-        SELECT {day('cohort', 'initial_cohort')}, {matrix('later')}
-        FROM ret GROUP BY cohort""",
+    "RSH1_pivot_wide": matrix("ret", "later"),
     "RSH2_pivot_flags": """
         SELECT ord_no AS "order",
                """ + ", ".join(f"(service_class = 'gb-{c.upper()}')::BIGINT AS {c}" for c in
@@ -412,19 +417,28 @@ _PLAIN = {
                {big('status')} FROM coh""",
     "BIZ26_user_retention_long": f"SELECT {RET}, {LATER}, initial, {PERCENT4} AS percent "
                                  "FROM ret",
-    "BIZ27_user_retention_matrix": f"""
-        SELECT strftime(cohort, '%b %Y') AS initial_cohort, {matrix(PERCENT4)}
-        FROM ret GROUP BY cohort""",
+    "BIZ27_user_retention_matrix": matrix("ret", PERCENT4, MONTH),
     "BIZ28_user_retention_by_city": f"""
         SELECT {RET}, location, {LATER}, initial, {PERCENT4} AS percent FROM ret_city""",
     "BIZ29_revenue_retention_long": f"""
         SELECT {RET}, CAST(round(CAST(later AS DECIMAL(38, 5)), 2) AS DOUBLE) AS "returning", CAST(round(CAST(initial AS DECIMAL(38, 5)), 2) AS DOUBLE) AS initial,
                CAST(round(CAST(later / nullif(initial, 0) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS percent FROM rev""",
     "BIZ29_revenue_retention_matrix": f"""
-        SELECT {day('cohort', 'initial_cohort')}, location,
-               {matrix('CAST(round(CAST(later / nullif(initial, 0) AS DECIMAL(38, 9)), 6) AS DOUBLE)')} FROM rev_city
-        WHERE location IS NOT NULL AND later / nullif(initial, 0) IS NOT NULL
-        GROUP BY cohort, location""",
+        {matrix("rev_city WHERE location IS NOT NULL AND later / nullif(initial, 0) IS NOT NULL",
+                PERCENT6, day("cohort", "initial_cohort"), "location")}""",
+    "BIZ29_revenue_retention_sets": f"""
+        SELECT 0::BIGINT AS grouping_id, location, {REVENUE} FROM rev_city
+        UNION ALL SELECT 1, NULL, {REVENUE} FROM rev""",
+    "BIZ28_user_retention_sets": f"""
+        SELECT 0::BIGINT AS grouping_id, location, {USERS} FROM ret_city
+        UNION ALL SELECT 1, NULL, {USERS} FROM ret""",
+    "BIZ28_user_retention_sets_matrix": matrix(
+        "(SELECT 0::BIGINT AS grouping_id, * FROM ret_city "
+        "UNION ALL BY NAME SELECT 1 AS grouping_id, * FROM ret)", PERCENT4,
+        day("cohort", "initial_cohort"), "grouping_id", "location"),
+    "BIZ30_orders_per_user_sets": f"""
+        SELECT 0::BIGINT AS grouping_id, location, {PER_USER} FROM opu_city
+        UNION ALL SELECT 1, NULL, {PER_USER} FROM opu""",
     "BIZ29_revenue_retention_by_city": f"""
         SELECT {RET}, location, CAST(round(CAST(later AS DECIMAL(38, 5)), 2) AS DOUBLE) AS "returning", CAST(round(CAST(initial AS DECIMAL(38, 5)), 2) AS DOUBLE) AS initial,
                CAST(round(CAST(later / nullif(initial, 0) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS percent FROM rev_city""",
@@ -432,8 +446,7 @@ _PLAIN = {
         SELECT {RET}, {big('orders')}, customers, round_even(orders / customers, 2) AS proportion
         FROM opu""",
     "BIZ30_orders_per_user_matrix": f"""
-        SELECT strftime(cohort, '%b %Y') AS initial_cohort,
-               {matrix('round_even(orders / customers, 2)')} FROM opu GROUP BY cohort""",
+        {matrix("opu", "round_even(orders / customers, 2)", MONTH)}""",
     "BIZ30_orders_per_user_by_city": OPU_CITY,
     "BIZ31_channel_cohorts": f"""
         SELECT {RET}, first_channel, location, {LATER}, {big('cohort_size', 'cohort')}

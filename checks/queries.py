@@ -23,7 +23,6 @@ from patronflow.sources import load_table, save_table, scan, scan_delimited, sch
 AS_OF = date(2001, 9, 1)
 TRANSITION_AS_OF = date(2001, 7, 15)
 FLOORS = {"de_berlin": date(1997, 1, 1), "fr_paris": date(1998, 5, 1)}
-OFFSETS = list(range(80))
 
 
 class Inputs:
@@ -106,7 +105,7 @@ class Inputs:
             self.entity("driver_deliveries"), self.entity("facilities"))
 
     def lifespans(self) -> DataFrame:
-        bridge = clv.customer_channels(self.rows, channels.first_channel(self.priority()))
+        bridge = clv.customer_channels(self.customers, channels.first_channel(self.priority()))
         return clv.customer_lifespan(stages.stage_report(self.rows, AS_OF), bridge)
 
 
@@ -494,7 +493,7 @@ def _(i: Inputs):
 @query("RSH1_pivot_wide")
 def _(i: Inputs):
     table = cohorts.user_retention(i.cohort_input)
-    return cohorts.cohort_matrix(table, "returning", offsets=OFFSETS)
+    return cohorts.cohort_matrix(table, "returning")
 
 
 @query("RSH2_pivot_flags")
@@ -847,7 +846,7 @@ def _(i: Inputs):
 @query("BIZ27_user_retention_matrix")
 def _(i: Inputs):
     table = cohorts.user_retention(i.cohort_input)
-    return cohorts.cohort_matrix(table, "percent", offsets=OFFSETS, labels=True)
+    return cohorts.cohort_matrix(table, "percent", labels=True)
 
 
 @query("BIZ28_user_retention_by_city")
@@ -855,17 +854,35 @@ def _(i: Inputs):
     return cohorts.user_retention(i.city_input, by=["location"])
 
 
+@query("BIZ28_user_retention_sets")
+def _(i: Inputs):
+    """Overall and by-city cells of one scan."""
+    return cohorts.user_retention(i.city_input, by=["location"], sets=True)
+
+
+@query("BIZ28_user_retention_sets_matrix")
+def _(i: Inputs):
+    """Overall and by-city matrices of one scan."""
+    table = cohorts.user_retention(i.city_input, by=["location"], sets=True)
+    return cohorts.cohort_matrix(table, "percent", by=["grouping_id", "location"])
+
+
 @query("BIZ29_revenue_retention_long", returning=2, initial=2, percent=6)
 def _(i: Inputs):
     return cohorts.revenue_retention(i.facts, digits=None)
 
 
-@query("BIZ29_revenue_retention_matrix",
-       **{f"m{k}": 6 for k in OFFSETS})
+@query("BIZ29_revenue_retention_matrix")
 def _(i: Inputs):
     table = cohorts.revenue_retention(i.facts, by=["location"], digits=None)
-    table = cohorts.city_rows(table.drop("returning", "initial"))
-    return cohorts.cohort_matrix(table, "percent", by=["location"], offsets=OFFSETS)
+    table = tidy(cohorts.city_rows(table.drop("returning", "initial")), percent=6)
+    return cohorts.cohort_matrix(table, "percent", by=["location"])
+
+
+@query("BIZ29_revenue_retention_sets", returning=2, initial=2, percent=6)
+def _(i: Inputs):
+    """Overall and by-city cells of one scan."""
+    return cohorts.revenue_retention(i.facts, by=["location"], digits=None, sets=True)
 
 
 @query("BIZ29_revenue_retention_by_city", returning=2, initial=2, percent=6)
@@ -881,7 +898,13 @@ def _(i: Inputs):
 @query("BIZ30_orders_per_user_matrix")
 def _(i: Inputs):
     table = cohorts.orders_per_user(i.rows)
-    return cohorts.cohort_matrix(table, "proportion", offsets=OFFSETS, labels=True)
+    return cohorts.cohort_matrix(table, "proportion", labels=True)
+
+
+@query("BIZ30_orders_per_user_sets")
+def _(i: Inputs):
+    """Overall and by-city cells of one scan."""
+    return cohorts.orders_per_user(i.rows, by=["location"], sets=True)
 
 
 @query("BIZ30_orders_per_user_by_city")
@@ -959,7 +982,7 @@ def _(i: Inputs):
 
 
 def _monthly(i: Inputs) -> DataFrame:
-    bridge = clv.customer_channels(i.rows, channels.first_channel(i.priority()))
+    bridge = clv.customer_channels(i.customers, channels.first_channel(i.priority()))
     return clv.monthly_metrics(i.facts, bridge)
 
 
@@ -978,4 +1001,4 @@ def _(i: Inputs):
 @query("BIZ45_clv", gross=2, orders_per_user=9, aov=2, lifespan=6, final_lifespan=6, clv=2)
 def _(i: Inputs):
     stage_rows = stages.stage_report(i.rows, AS_OF)
-    return clv.clv_report(i.facts, i.rows, stage_rows, channels.first_channel(i.priority()))
+    return clv.clv_report(i.facts, i.customers, stage_rows, channels.first_channel(i.priority()))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .reuse import Keep, hold
+
 
 def flatten_structs(df: DataFrame, separator: str = "_") -> DataFrame:
     """Nested records to top-level columns, at any depth."""
@@ -22,24 +24,39 @@ def flatten_structs(df: DataFrame, separator: str = "_") -> DataFrame:
     return df.select(*leaves(df.schema, ()))
 
 
+def values_of(df: DataFrame, column: str, most: int) -> list:
+    """The distinct values of a column in order, missing ones apart (an action).
+
+    They become columns or cells, so more than ``most`` of them are refused.
+    """
+    found = [r[0] for r in df.select(column).dropna().distinct().take(most + 1)]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return sorted(found)
+
+
 def pivot_wide(df: DataFrame, index: Sequence[str], column: str, value: str,
-               values: Sequence | None = None, prefix: str = "") -> DataFrame:
-    """Long to wide, one column per value of ``column``.
+               values: Sequence | None = None, prefix: str = "", keep: Keep = hold) -> DataFrame:
+    """Long to wide, one column per value of ``column``, in order of the values.
 
     With ``values`` the columns are fixed and no extra job runs; a row with
-    another value fails the query, nothing is dropped. Without, Spark
-    looks up the values present first (and refuses more than
-    ``spark.sql.pivotMaxValues``). Each cell holds at most one row.
+    another value fails the query, nothing is dropped. Without, the cells are
+    stored once by ``keep``, the values present are read from them (more than
+    ``spark.sql.pivotMaxValues`` are refused), and the stored cells are
+    spread: the plan below runs once. Rows without a value of ``column`` keep
+    their index. Each cell holds at most one row.
     """
-    if values is not None:
+    if values is None:
+        df = keep(df.select(*index, column, value))
+        values = values_of(df, column, int(df.sparkSession.conf.get("spark.sql.pivotMaxValues")))
+    else:
         known = F.col(column).isNull() | F.col(column).isin(list(values))
         other = F.raise_error(F.concat(F.lit(f"{column} has a value without a column: "),
                                        F.col(column).cast("string")))
         df = df.withColumn(column, F.when(known, F.col(column)).otherwise(other))
-    groups = df.groupBy(*index)
-    pivoted = (groups.pivot(column) if values is None
-               else groups.pivot(column, list(values)))
-    wide = pivoted.agg(F.first(value))
+    if not values:
+        return df.select(*index).distinct()
+    wide = df.groupBy(*index).pivot(column, list(values)).agg(F.first(value))
     return wide.withColumnsRenamed({c: f"{prefix}{c}" for c in wide.columns
                                     if c not in index})
 
@@ -66,23 +83,55 @@ def melt_pairs(df: DataFrame, ids: Sequence[str],
     return df.select(*ids, F.inline(F.array(*as_struct)))
 
 
-def crosstab(df: DataFrame, rows: str, columns: str) -> DataFrame:
+def pair_counts(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """Counts of two categories as (rows, columns, n), present pairs only.
+
+    Rows missing either category are left out. The sparse form: its size
+    follows the pairs that occur, whatever the number of categories.
+    """
+    return (df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+            .groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n")))
+
+
+def crosstab(df: DataFrame, rows: str, columns: str, categories: Sequence | None = None,
+             most: int = 1000, keep: Keep = hold) -> DataFrame:
     """Dense counts of two categories as (rows, columns, n).
 
     Every combination of observed values appears, absent ones with 0. Rows
     missing either category are left out.
+
+    ``categories`` are the values that the column category may have: the table
+    is then one aggregate with a conditional count for each, and a value
+    outside them fails the query. Without, the present pairs are stored by ``keep`` and the
+    categories read from them; more than ``most`` are refused, as a dense table
+    would be too large (:func:`pair_counts` is the sparse form).
     """
-    pairs = (df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
-             .groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n")))
-    cells = pairs.groupBy(rows).agg(
-        F.map_from_entries(F.collect_list(F.struct(columns, "n"))).alias("cells"))
-    # Read from the same cells, so that the counts are exchanged only once.
-    found = (cells.select(F.explode(F.map_keys("cells")).alias("value"))
-             .agg(F.collect_set("value").alias("found")).scalar())
-    return (cells.withColumn("found", found)
-            .select(rows, F.explode("found").alias(columns), "cells")
-            .select(rows, columns, F.coalesce(
-                F.try_element_at("cells", F.col(columns)), F.lit(0)).alias("n")))
+    fixed = categories is not None
+    if not fixed:
+        cells = keep(pair_counts(df, rows, columns))
+        categories = values_of(cells, columns, most)
+        counts = [F.coalesce(F.sum(F.when(F.col(columns) == c, F.col("n"))), F.lit(0))
+                  for c in categories]
+    else:
+        known = F.col(columns).isin(list(categories))
+        cells = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull()).withColumn(
+            columns, F.when(known, F.col(columns)).otherwise(F.raise_error(F.concat(
+                F.lit(f"{columns} has another value: "), F.col(columns).cast("string")))))
+        counts = [F.count_if(F.col(columns) == c) for c in categories]
+    if not categories:
+        return cells.select(rows, columns, F.lit(0).cast("bigint").alias("n")).limit(0)
+    names = [f"__count_{k}" for k in range(len(categories))]
+    table = cells.groupBy(rows).agg(*[c.alias(name) for c, name in zip(counts, names)])
+    kind = df.schema[columns].dataType
+    dense = melt_pairs(table, [rows], [(F.lit(c).cast(kind), name)
+                                       for c, name in zip(categories, names)], (columns, "n"))
+    if not fixed:
+        return dense
+    # A known category that no row has is no part of the observed table. The
+    # totals sum the counts, so they reuse their exchange.
+    totals = table.agg(F.array(*[F.sum(name) for name in names]).alias("n")).scalar()
+    place = F.array_position(F.array(*[F.lit(c).cast(kind) for c in categories]), F.col(columns))
+    return dense.where(F.get(totals, (place - 1).cast("int")) > 0)
 
 
 def explode_array(df: DataFrame, array: str, name: str) -> DataFrame:

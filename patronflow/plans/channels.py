@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cascade, device_class, if_na, last_match, strict_min
+from ..functions import cascade, device_class, if_na, is_valid, last_match, strict_min
 from ..functions.dates import day_of
 from ..functions.text import Rule
 from ..operators.aggregates import first_by_key
 from ..operators.joins import left_join
 from ..operators.reshape import melt_pairs
+from ..operators.reuse import Keep, hold
 from .cohorts import customer_days, first_order, label_cohorts
 from .facts import flat_orders
 
@@ -121,7 +122,8 @@ def touchpoints(orders: DataFrame, vouchers: DataFrame, funnel: DataFrame) -> Da
     rows = flat_orders(orders, "order", "customer_id", "created_at", "state",
                        "location", "user_agent", "voucher_code").drop("is_valid")
     rows = left_join(rows, vouchers, "voucher_code")
-    rows = left_join(rows, funnel_channels(funnel), "order")
+    rows = left_join(rows, funnel_channels(funnel), "order", missing="lookup",
+                     spread=["customer_id", "created_at"])
     return rows.withColumns({
         c: F.when(F.col(c) == "(unavailable)", NOT_SET)
         .otherwise(F.coalesce(F.col(c), F.lit(NOT_SET)))
@@ -158,21 +160,22 @@ def attribution_long(points: DataFrame) -> DataFrame:
             .agg(F.sum("weight").alias("sum_weight")))
 
 
-def attribution_report(orders: DataFrame, vouchers: DataFrame,
-                       funnel: DataFrame) -> DataFrame:
+def attribution_report(orders: DataFrame, vouchers: DataFrame, funnel: DataFrame,
+                       keep: Keep = hold) -> DataFrame:
     """Channel weights with order fields, device and customer status.
 
     The status compares timestamps, so a second order on the first day is
-    already returning.
+    already returning. ``keep`` stores the touchpoints: the orders are joined
+    with vouchers and funnel once, and weights, first orders and order fields
+    are read from that table. An order whose voucher code is on file twice
+    stands in it twice, for its weights and for its fields.
     """
-    fields = flat_orders(orders, "order", "customer_id", "created_at", "state",
-                         "location", "user_agent", "voucher_code")
-    firsts = first_order(fields, "customer_id")
-    # A voucher code on file twice doubles its orders here as in touchpoints().
-    fields = left_join(fields, vouchers.select("voucher_code"), "voucher_code")
-    fields = left_join(fields.drop("voucher_code"), firsts, "customer_id")
-    rows = left_join(attribution_long(touchpoints(orders, vouchers, funnel)),
-                     fields, "order")
+    points = keep(touchpoints(orders, vouchers, funnel))
+    firsts = first_order(points, "customer_id")
+    fields = points.select("order", "customer_id", "created_at", "state", "location",
+                           "user_agent", is_valid("state").alias("is_valid"))
+    fields = left_join(fields, firsts, "customer_id")
+    rows = left_join(attribution_long(points), fields, "order")
     returning = F.col("created_at") > F.col("first_order")
     return rows.select(
         "customer_id", "order", "final_channel", "sum_weight",

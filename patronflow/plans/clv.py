@@ -18,16 +18,18 @@ OVERRIDDEN = ("fr_paris",)
 DAYS_PER_MONTH = 30
 
 
-def customer_channels(order_rows: DataFrame, first_channel: DataFrame) -> DataFrame:
+def customer_channels(customers: DataFrame, first_channel: DataFrame) -> DataFrame:
     """(customer, first_channel): channels moved to the customer reference.
 
-    Channels are known by document id; the reference is that of the
-    customer's first order row.
+    Channels are known by document id, which the customer documents map to the
+    reference. One row per reference, the missing one included: where several
+    documents share it, the channel is that of the smallest id.
     """
-    bridge = order_rows.groupBy("customer_id").agg(
-        F.min_by("customer", F.struct("created_at", "order")).alias("customer"))
-    return left_join(bridge, first_channel, "customer_id").select(
-        "customer", "first_channel")
+    named = left_join(customers.select(F.col("_id").alias("customer_id"),
+                                       F.col("reference").alias("customer")),
+                      first_channel, "customer_id", missing="never")
+    return named.groupBy("customer").agg(
+        F.min_by("first_channel", "customer_id").alias("first_channel"))
 
 
 def customer_lifespan(stages: DataFrame, channels: DataFrame) -> DataFrame:
@@ -86,7 +88,7 @@ def monthly_metrics(facts: DataFrame, channels: DataFrame) -> DataFrame:
     })
 
 
-def clv_report(facts: DataFrame, order_rows: DataFrame, stages: DataFrame,
+def clv_report(facts: DataFrame, customers: DataFrame, stages: DataFrame,
                first_channel: DataFrame, overridden: Sequence[str] = OVERRIDDEN,
                fill_text: str | None = "0", keep: Keep = hold) -> DataFrame:
     """Order value x lifespan in months x orders per user.
@@ -95,7 +97,7 @@ def clv_report(facts: DataFrame, order_rows: DataFrame, stages: DataFrame,
     (None keeps NULL). ``keep`` stores the two per-customer tables that are
     read more than once.
     """
-    channels = keep(customer_channels(order_rows, first_channel))
+    channels = keep(customer_channels(customers, first_channel))
     lifespans = keep(customer_lifespan(stages, channels))
     table = left_join(monthly_metrics(facts, channels), lifespan_by_city(lifespans),
                       "location")

@@ -12,6 +12,9 @@ All cohort reports share two compact tables:
 
 The initial counts stand in the same table as the returning ones; a window
 over a cohort attaches them, in place of a second scan and a join.
+
+``sets=True`` gives the cells by ``by`` and the overall ones in one table, told
+apart by ``grouping_id``, from one scan and one pass over the customers.
 """
 
 from __future__ import annotations
@@ -108,12 +111,33 @@ def with_first_label(days: DataFrame, customer: str, name: str) -> DataFrame:
     return days.withColumn(name, F.when(missing == 0, smallest))
 
 
-def cohort_cells(days: DataFrame, customer: str = "customer",
-                 by: Sequence[str] = (), gross: bool = False) -> DataFrame:
+#: ``grouping_id`` of the cells by city (or other ``by`` columns) and of all.
+BY, OVERALL = 0, 1
+
+
+def _with_overall(days: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Each row once with its ``by`` values and once without, under a grouping id.
+
+    The rows of SQL's grouping sets. They are made by a generator, which keeps
+    the partitioning by customer, where the built-in expansion would
+    exchange all rows again.
+    """
+    level = lambda k, get: F.struct(F.lit(k).alias("grouping_id"), *[get(c).alias(c) for c in by])
+    none = lambda c: F.lit(None).cast(days.schema[c].dataType)
+    rest = [c for c in days.columns if c not in by]
+    return days.select(*rest, F.inline(F.array(level(BY, F.col), level(OVERALL, none))))
+
+
+def cohort_cells(days: DataFrame, customer: str = "customer", by: Sequence[str] = (),
+                 gross: bool = False, sets: bool = False) -> DataFrame:
     """Users, orders and revenue per cohort, offset and ``by``.
 
-    Initial cells have status 0 and no offset, returning cells status 1.
+    Initial cells have status 0 and no offset, returning cells status 1. With
+    ``sets`` the overall cells follow under ``grouping_id`` 1, with NULL in the
+    ``by`` columns; a customer of two cities counts once in them.
     """
+    if sets:
+        days, by = _with_overall(days, by), ["grouping_id", *by]
     cell = ["initial_cohort", "status", "since_first_order", *by]
     per_customer = [F.sum("orders").alias("orders")]
     totals = [F.count(F.lit(1)).alias("users"), F.sum("orders").alias("orders")]
@@ -125,8 +149,14 @@ def cohort_cells(days: DataFrame, customer: str = "customer",
             .groupBy(*cell).agg(*totals))
 
 
+def of_level(table: DataFrame, grouping_id: int) -> DataFrame:
+    """The cells of one grouping of a table made with ``sets``."""
+    return table.where(F.col("grouping_id") == grouping_id).drop("grouping_id")
+
+
 def _against_initial(cells: DataFrame, measure: str, by: Sequence[str]) -> DataFrame:
     """Returning cells next to the initial cell of their cohort."""
+    by = [c for c in ("grouping_id",) if c in cells.columns] + list(by)
     cohort = Window.partitionBy("initial_cohort", *by)
     initial = F.max(F.when(F.col("status") == 0, F.col(measure))).over(cohort)
     return (cells.withColumn("initial", initial).where(F.col("status") == 1)
@@ -134,30 +164,31 @@ def _against_initial(cells: DataFrame, measure: str, by: Sequence[str]) -> DataF
                     F.col(measure).alias("returning"), "initial"))
 
 
-def user_retention(rows: DataFrame, customer: str = "customer_id",
-                   by: Sequence[str] = (), digits: int | None = 4) -> DataFrame:
+def user_retention(rows: DataFrame, customer: str = "customer_id", by: Sequence[str] = (),
+                   digits: int | None = 4, sets: bool = False) -> DataFrame:
     """Returning over initial distinct users, per cohort and month offset."""
-    cells = cohort_cells(customer_days(rows, customer, by), customer, by)
+    cells = cohort_cells(customer_days(rows, customer, by), customer, by, sets=sets)
     return _with_percent(_against_initial(cells, "users", by), digits)
 
 
 def revenue_retention(rows: DataFrame, customer: str = "customer",
                       by: Sequence[str] = (), gross: str = "gross_before_discount",
-                      digits: int | None = 4) -> DataFrame:
+                      digits: int | None = 4, sets: bool = False) -> DataFrame:
     """Returning over initial revenue, per cohort and month offset.
 
     Revenue of a cell with an unknown amount is unknown. By-city reports drop
     rows with a missing value: apply ``na.drop`` as :func:`city_rows` does.
     """
     cells = cohort_cells(customer_days(rows, customer, by, gross=gross),
-                         customer, by, gross=True)
+                         customer, by, gross=True, sets=sets)
     return _with_percent(_against_initial(cells, "revenue", by), digits)
 
 
-def orders_per_user(rows: DataFrame, customer: str = "customer",
-                    by: Sequence[str] = (), digits: int | None = 2) -> DataFrame:
+def orders_per_user(rows: DataFrame, customer: str = "customer", by: Sequence[str] = (),
+                    digits: int | None = 2, sets: bool = False) -> DataFrame:
     """Orders per returning user, per cohort and month offset."""
-    cells = cohort_cells(customer_days(rows, customer, by), customer, by)
+    cells = cohort_cells(customer_days(rows, customer, by), customer, by, sets=sets)
+    by = [c for c in ("grouping_id",) if sets] + list(by)
     per_user = round_half_even(ratio("orders", "users"), digits)
     return (cells.where(F.col("status") == 1)
             .select("initial_cohort", "since_first_order", *by, "orders",
@@ -202,8 +233,8 @@ def cohort_matrix(table: DataFrame, value: str, by: Sequence[str] = (),
                   prefix: str = "m") -> DataFrame:
     """Cohort by offset matrix; ``by`` columns become further row keys.
 
-    One pivot serves all cities. ``offsets`` fixes the columns; without it the
-    offsets present are looked up, which runs the plan once more.
+    One pivot serves all cities. ``offsets`` fixes the columns; without it there
+    is one per offset present, read from the stored cells.
     ``labels`` turns cohorts into ``Mon YYYY`` text and sorts the rows.
     """
     wide = pivot_wide(table, ["initial_cohort", *by], "since_first_order", value,

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import (cast_numeric, days_between, device_class, first_name, fold_ascii,
                          format_day, is_canceled, is_open, ratio, round_half_even,
-                         split_pick, strict_max, strict_min)
+                         split_pick, strict_max)
 from ..functions._cols import ColumnLike, as_col
 from ..functions.dates import day_of
 from ..operators.aggregates import first_by_key, first_last
+from ..operators.codes import TextCodes, packed_order, text_codes
 from ..operators.joins import left_join
 from .facts import flat_orders
 
@@ -77,7 +78,13 @@ def service_class_counts(orders: DataFrame) -> DataFrame:
             .withColumn("no_class", _no_class()))
 
 
-def _order_features() -> list[Column]:
+def order_codes(rows: DataFrame, *more: str) -> TextCodes:
+    """Codes of the texts that are picked per customer; reads those columns once."""
+    return text_codes(rows, {"location": "location", "device": device_class("user_agent"),
+                             **{name: name for name in more}})
+
+
+def _order_features(codes: TextCodes) -> list[Column]:
     valid = F.col("is_valid") == 1
     at = F.when(valid, F.col("created_at"))
     return [
@@ -86,8 +93,8 @@ def _order_features() -> list[Column]:
         F.sum(F.when(valid, 1)).alias("valid_orders"),
         F.sum(F.when(valid, F.col("voucher_code").isNotNull().cast("int")))
         .alias("vouchers_used"),
-        strict_min("location").alias("city"),
-        strict_min(device_class("user_agent")).alias("device"),
+        codes.strict_min("location").alias("city"),
+        codes.strict_min("device").alias("device"),
         F.sum(is_open("state")).alias("open_orders"),
         F.sum(is_canceled("state")).alias("canceled_orders"),
     ]
@@ -108,7 +115,7 @@ def order_summary(orders: DataFrame) -> DataFrame:
     """First, last, valid, open, canceled and distinct orders per customer."""
     rows = flat_orders(orders, "customer_id", "created_at", "state", "location",
                        "voucher_code", "user_agent")
-    summary = rows.groupBy("customer_id").agg(*_order_features())
+    summary = rows.groupBy("customer_id").agg(*_order_features(order_codes(rows)))
     return left_join(summary, distinct_orders(orders), "customer_id")
 
 
@@ -135,8 +142,16 @@ def order_ratings(ratings: DataFrame, order: Sequence[str] = ("_id",)) -> DataFr
           .alias(name) for topic, name in TOPICS.items()])
 
 
-def _rating_features() -> list[Column]:
-    return [strict_max(c).alias(c) for c in ("rating", *CUSTOMER_TOPICS)]
+def _rating_features(codes: TextCodes) -> list[Column]:
+    return [strict_max("rating").alias("rating"),
+            *[codes.strict_max(c).alias(c) for c in CUSTOMER_TOPICS]]
+
+
+def mark_codes(ratings: DataFrame) -> TextCodes:
+    """Codes of the topic marks, over all ratings."""
+    names = {name: topic for topic, name in TOPICS.items() if name in CUSTOMER_TOPICS}
+    return text_codes(ratings, {name: F.coalesce(F.try_element_at("topics", F.lit(topic)), F.lit(""))
+                                for name, topic in names.items()}).over(CUSTOMER_TOPICS)
 
 
 def rating_features(orders: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -144,9 +159,9 @@ def rating_features(orders: DataFrame, ratings: DataFrame) -> DataFrame:
 
     NULL as soon as one order of the customer has no mark.
     """
-    rows = left_join(flat_orders(orders, "order", "customer_id"),
-                     order_ratings(ratings), "order")
-    return rows.groupBy("customer_id").agg(*_rating_features())
+    marks = order_ratings(ratings)
+    rows = left_join(flat_orders(orders, "order", "customer_id"), marks, "order")
+    return rows.groupBy("customer_id").agg(*_rating_features(mark_codes(ratings)))
 
 
 def last_notification(notifications: DataFrame,
@@ -186,16 +201,19 @@ def customer_features(orders: DataFrame, ratings: DataFrame) -> DataFrame:
     """All order-based features per customer.
 
     Orders are joined with their rating once and aggregated once: summary,
-    class counts, marks and first provider share a single shuffle.
+    class counts, marks and first provider share a single shuffle. Texts are
+    picked by code (:mod:`..operators.codes`), so it is a hash aggregate.
     """
     rows = flat_orders(orders, "customer_id", "order", "created_at", "state",
                        "location", "voucher_code", "user_agent", "service_class",
                        "provider")
+    codes = order_codes(rows, "provider") | mark_codes(ratings)
     rows = left_join(rows, order_ratings(ratings), "order")
     valid = F.col("is_valid") == 1
+    first = packed_order(rows, "created_at", "order")
     features = rows.groupBy("customer_id").agg(
-        *_order_features(), *_class_counts(valid), *_rating_features(),
-        first_last("provider", ("created_at", "order"))[0].alias("provider"))
+        *_order_features(codes), *_class_counts(valid), *_rating_features(codes),
+        codes.first_by("provider", first).alias("provider"))
     # Customers without a valid order have no class counts either.
     has_valid = F.col("valid_orders").isNotNull()
     features = features.withColumns({

@@ -7,8 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bin_index, days_between, equal_width_bin, recode, strict_min
+from ..functions import bin_index, days_between, equal_width_bin, recode
 from ..functions.dates import day_of
+from ..operators.codes import text_codes
 from ..operators.joins import left_join
 from ..operators.quantiles import exact_quantiles
 from ..operators.reuse import Keep, hold
@@ -84,7 +85,8 @@ def customer_city(order_rows: DataFrame) -> DataFrame:
 
     NULL as soon as one order has no location.
     """
-    return order_rows.groupBy("customer").agg(strict_min("location").alias("location"))
+    codes = text_codes(order_rows, {"location": "location"})
+    return order_rows.groupBy("customer").agg(codes.strict_min("location").alias("location"))
 
 
 def rfm_report(facts: DataFrame, order_rows: DataFrame, as_of: date,

@@ -128,7 +128,7 @@ def transition_report(rows: DataFrame, as_of: date, keep: Keep = hold) -> DataFr
 
 def transition_matrix(report: DataFrame) -> DataFrame:
     """Former by new stage, long and dense: count, row percentage and labels."""
-    table = crosstab(report, "former_stage", "new_stage")
+    table = crosstab(report, "former_stage", "new_stage", categories=STAGES)
     row_total = F.sum("n").over(Window.partitionBy("former_stage"))
     return table.withColumns({
         "row_percent": F.col("n") * 100 / row_total,

@@ -368,8 +368,9 @@ def test_lifetime_value(spark):
         "customer string, location string, orders long, stage string, first_order date, "
         "last_order date")
     firsts = spark.createDataFrame([("1", "SEM")], "customer_id string, first_channel string")
+    people = spark.createDataFrame([("1", "C1"), ("2", "C2")], "_id string, reference string")
     got = {(r.month, r.location): r for r in
-           clv.clv_report(table, table, stage_rows, firsts).collect()}
+           clv.clv_report(table, people, stage_rows, firsts).collect()}
     jan, mar = date(2020, 1, 1), date(2020, 3, 1)
     paris = got[(jan, "fr_paris")]
     assert (paris.first_channel, paris.aov, paris.final_lifespan) == ("SEM", 30.0, 60.0)
