@@ -66,6 +66,16 @@ _PLAIN = {
     "SRC1_scan_projected": f'''
         SELECT o_orderkey AS "order", o_custkey AS customer_id, {day('o_orderdate', 'created_at')}
         FROM orders''',
+    "SRC1_json_documents": f"""
+        SELECT CAST(ord_no AS VARCHAR) AS order_id, CAST(ord_no AS VARCHAR) AS "order",
+               CAST(customer_id AS VARCHAR) AS customer_id, {day('day', 'created_at')}, state,
+               location, voucher_code, user_agent, CAST(referrer_id AS VARCHAR) AS referrer_id,
+               service_class, provider, {big('is_valid')}
+        FROM oo WHERE state NOT IN ('reserved', 'canceled')""",
+    "SRC1_json_counts": """
+        SELECT CASE state WHEN 'reserved' THEN 'not a JSON document'
+               WHEN 'canceled' THEN 'a value of another type' END AS reason, count(*) AS n
+        FROM oo GROUP BY 1""",
     "SRC2_scan_filtered": """
         SELECT event_id, user_id, CAST(round(CAST(value AS DECIMAL(38, 7)), 4) AS DOUBLE) AS value FROM events
         WHERE event_type = 'purchase'""",
@@ -77,7 +87,7 @@ _PLAIN = {
                medium AS ga_medium, 'wash' AS ga_keyword FROM web""",
     "SRC5_load_intermediate": """
         SELECT ord_no AS "order", customer, state, CAST(round(CAST(gross AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross FROM fact""",
-    "SNK1_write_csv": f"SELECT {RET}, {LATER}, initial FROM ret",
+    "SNK1_write_csv": f"SELECT {USERS} FROM ret",
     "SNK2_save_intermediate": f"SELECT {STAGE} FROM stage_base",
 
     "PRJ1_select_rename": f"""
@@ -200,6 +210,17 @@ _PLAIN = {
                count(*) FILTER (location IS NULL) AS without_location,
                CAST(round(CAST(sum(gross) AS DECIMAL(38, 5)), 2) AS DOUBLE) AS gross FROM fact""",
 
+    "AGG16_observed_totals": """
+        SELECT unnest(['priced_orders.orders', 'rfm_base.orders', 'rfm_base.customers',
+                       'rfm_report.customers', 'orders.valid', 'stage_base.orders',
+                       'stage_base.groups', 'stage_report.groups', 'touchpoints.orders',
+                       'attribution.weight', 'facts.valid', 'monthly.orders']) AS name,
+               unnest([p, p, c, c, v, v, g, g, o, o, v, v])::DOUBLE AS value
+        FROM (SELECT count(*) AS p, count(DISTINCT customer) AS c FROM fact
+              WHERE is_valid = 1 AND gross IS NOT NULL),
+             (SELECT count(*) AS o, sum(is_valid) AS v FROM oo),
+             (SELECT count(*) AS g FROM stage_base)""",
+
     "DED1_dedup_by_key": 'SELECT ord_no AS "order", network FROM network',
     "DED2_distinct_rows": """
         SELECT DISTINCT ord_no AS order_reference, first_channel, last_channel FROM funnel""",

@@ -10,9 +10,10 @@ from .reshape import (concat_by_group, crosstab, explode_array, explode_named,
                       fill_na, flatten_structs, melt_pairs, pair_counts, pivot_flags,
                       pivot_wide, values_of)
 from .reuse import hold, lazily
+from .totals import Totals, TotalsDiffer
 
 __all__ = [
-    "TextCodes", "packed_order", "text_codes",
+    "TextCodes", "Totals", "TotalsDiffer", "packed_order", "text_codes",
     "concat_by_group", "control_totals", "crosstab", "distinct_values",
     "duplicate_keys", "exact_quantiles", "explode_array", "explode_named",
     "fill_na", "first_by_key", "first_last", "flatten_structs",

@@ -17,6 +17,7 @@ from ..operators.aggregates import first_by_key
 from ..operators.joins import left_join
 from ..operators.reshape import melt_pairs
 from ..operators.reuse import Keep, hold
+from ..operators.totals import Totals, watched
 from .cohorts import customer_days, first_order, label_cohorts
 from .facts import flat_orders
 
@@ -161,21 +162,26 @@ def attribution_long(points: DataFrame) -> DataFrame:
 
 
 def attribution_report(orders: DataFrame, vouchers: DataFrame, funnel: DataFrame,
-                       keep: Keep = hold) -> DataFrame:
+                       keep: Keep = hold, totals: Totals | None = None) -> DataFrame:
     """Channel weights with order fields, device and customer status.
 
     The status compares timestamps, so a second order on the first day is
     already returning. ``keep`` stores the touchpoints: the orders are joined
     with vouchers and funnel once, and weights, first orders and order fields
     are read from that table. An order whose voucher code is on file twice
-    stands in it twice, for its weights and for its fields.
+    stands in it twice, for its weights and for its fields. With ``totals`` the
+    weights have to sum to the touchpoint rows.
     """
-    points = keep(touchpoints(orders, vouchers, funnel))
+    points = keep(watched(totals, touchpoints(orders, vouchers, funnel), "touchpoints",
+                          orders=F.count(F.lit(1))))
     firsts = first_order(points, "customer_id")
     fields = points.select("order", "customer_id", "created_at", "state", "location",
                            "user_agent", is_valid("state").alias("is_valid"))
     fields = left_join(fields, firsts, "customer_id")
-    rows = left_join(attribution_long(points), fields, "order")
+    weights = watched(totals, attribution_long(points), "attribution", weight=F.sum("sum_weight"))
+    if totals is not None:
+        totals.agree("touchpoints.orders", "attribution.weight", tolerance=1e-9)
+    rows = left_join(weights, fields, "order")
     returning = F.col("created_at") > F.col("first_order")
     return rows.select(
         "customer_id", "order", "final_channel", "sum_weight",

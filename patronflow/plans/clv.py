@@ -11,6 +11,7 @@ from ..functions import days_between, month_of, ratio
 from ..operators.aggregates import global_median, median_by
 from ..operators.joins import left_join
 from ..operators.reuse import Keep, hold
+from ..operators.totals import Totals, watched
 from .stages import STAGES
 
 # Cities that take the global lifespan.
@@ -61,14 +62,17 @@ def lifespan_by_city(lifespans: DataFrame) -> DataFrame:
     return median_by(lapsed, "lifespan", ["location"], name="lifespan")
 
 
-def monthly_metrics(facts: DataFrame, channels: DataFrame) -> DataFrame:
+def monthly_metrics(facts: DataFrame, channels: DataFrame,
+                    totals: Totals | None = None) -> DataFrame:
     """Orders per user and order value by month, city and first channel.
 
     Facts are summed per customer, month and city before the channel is
     looked up, so that lookup is small even for a customer with very many
     orders. Order value divides all known gross amounts, valid or not, by the
-    valid orders among them. Months without a valid order are left out.
+    valid orders among them. Months without a valid order are left out. With
+    ``totals`` the cells have to hold all valid orders.
     """
+    facts = watched(totals, facts, "facts", valid=F.sum("is_valid"))
     priced = F.col("gross_before_discount").isNotNull()
     monthly = facts.groupBy("customer", month_of("created_at").alias("month"),
                             "location").agg(
@@ -82,6 +86,9 @@ def monthly_metrics(facts: DataFrame, channels: DataFrame) -> DataFrame:
     cells = per_customer.groupBy(*cell).agg(
         F.count_if(F.col("orders") > 0).alias("customers"),
         *[F.sum(c).alias(c) for c in ("orders", "gross", "priced_orders")])
+    if totals is not None:
+        totals.agree("facts.valid", "monthly.orders")
+    cells = watched(totals, cells, "monthly", orders=F.sum("orders"))
     return cells.where(F.col("customers") > 0).withColumns({
         "orders_per_user": ratio("orders", "customers"),
         "aov": ratio("gross", "priced_orders"),
@@ -90,7 +97,8 @@ def monthly_metrics(facts: DataFrame, channels: DataFrame) -> DataFrame:
 
 def clv_report(facts: DataFrame, customers: DataFrame, stages: DataFrame,
                first_channel: DataFrame, overridden: Sequence[str] = OVERRIDDEN,
-               fill_text: str | None = "0", keep: Keep = hold) -> DataFrame:
+               fill_text: str | None = "0", keep: Keep = hold,
+               totals: Totals | None = None) -> DataFrame:
     """Order value x lifespan in months x orders per user.
 
     Missing values become 0, in text columns the text given by ``fill_text``
@@ -99,7 +107,7 @@ def clv_report(facts: DataFrame, customers: DataFrame, stages: DataFrame,
     """
     channels = keep(customer_channels(customers, first_channel))
     lifespans = keep(customer_lifespan(stages, channels))
-    table = left_join(monthly_metrics(facts, channels), lifespan_by_city(lifespans),
+    table = left_join(monthly_metrics(facts, channels, totals), lifespan_by_city(lifespans),
                       "location")
     overall = average_lifespan(lifespans)
     final = F.when(F.col("location").isin(*overridden), overall).otherwise(

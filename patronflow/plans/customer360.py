@@ -13,7 +13,7 @@ from ..functions import (cast_numeric, days_between, device_class, first_name, f
                          split_pick, strict_max)
 from ..functions._cols import ColumnLike, as_col
 from ..functions.dates import day_of
-from ..operators.aggregates import first_by_key, first_last
+from ..operators.aggregates import first_last
 from ..operators.codes import TextCodes, packed_order, text_codes
 from ..operators.joins import left_join
 from .facts import flat_orders
@@ -87,8 +87,11 @@ def order_codes(rows: DataFrame, *more: str) -> TextCodes:
 def _order_features(codes: TextCodes) -> list[Column]:
     valid = F.col("is_valid") == 1
     at = F.when(valid, F.col("created_at"))
+    undated = F.count_if(valid & F.col("created_at").isNull())
     return [
-        F.min(at).alias("first_order"), F.max(at).alias("last_order"),
+        # A valid order without a date leaves first and last order unknown.
+        F.when(undated == 0, F.min(at)).alias("first_order"),
+        F.when(undated == 0, F.max(at)).alias("last_order"),
         # No valid order: no summary row, so the counts are unknown, not zero.
         F.sum(F.when(valid, 1)).alias("valid_orders"),
         F.sum(F.when(valid, F.col("voucher_code").isNotNull().cast("int")))
@@ -126,15 +129,18 @@ def customer_status(valid_orders: ColumnLike) -> Column:
             .otherwise("NA"))
 
 
-def order_ratings(ratings: DataFrame, order: Sequence[str] = ("_id",)) -> DataFrame:
-    """First rating per order with its topics as columns.
+def order_ratings(ratings: DataFrame, order: Sequence[str] = ("_id",),
+                  latest: bool = False) -> DataFrame:
+    """First rating per order, or its ``latest``, with its topics as columns.
 
     A rating without any topic is kept, with NULL topics; next to other topics
     an unmarked topic is the empty text. Topics are entries of one record, so
     spreading them needs neither a pivot nor a join back.
     """
-    firsts = first_by_key(ratings.select("_id", "orderReference", "rating", "topics"),
-                          ["orderReference"], list(order))
+    pick = F.max_by if latest else F.min_by
+    firsts = ratings.groupBy("orderReference").agg(
+        pick(F.struct("rating", "topics"), F.struct(*order)).alias("one")).select(
+        "orderReference", "one.rating", "one.topics")
     return firsts.select(
         F.col("orderReference").alias("order"), "rating",
         *[F.when(F.size("topics") > 0,

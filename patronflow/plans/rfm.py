@@ -7,12 +7,13 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bin_index, days_between, equal_width_bin, recode
+from ..functions import bin_index, days_between, equal_width_bin, recode, strict_max
 from ..functions.dates import day_of
 from ..operators.codes import text_codes
 from ..operators.joins import left_join
 from ..operators.quantiles import exact_quantiles
 from ..operators.reuse import Keep, hold
+from ..operators.totals import Totals, watched
 
 # Quantiles that bound the five ranks of each measure.
 PROBS = {
@@ -26,15 +27,17 @@ POINTS = {"recency": 8, "frequency": 6, "amount": 6}
 CLASSES = {1: "Churned", 2: "Dormant", 3: "Prospective", 4: "Active", 5: "Loyal"}
 
 
-def rfm_base(facts: DataFrame, as_of: date) -> DataFrame:
+def rfm_base(facts: DataFrame, as_of: date, totals: Totals | None = None) -> DataFrame:
     """Per customer: days since the last order, orders, mean gross amount.
 
-    Counts valid orders with a known gross amount.
+    Counts valid orders with a known gross amount. The recency is unknown if one
+    of them has no date.
     """
     orders = facts.where((F.col("is_valid") == 1)
                          & F.col("gross_before_discount").isNotNull())
+    orders = watched(totals, orders, "priced_orders", orders=F.sum("is_valid"))
     per_customer = orders.groupBy("customer").agg(
-        F.max(day_of("created_at")).alias("last_order"),
+        strict_max(day_of("created_at")).alias("last_order"),
         F.sum("is_valid").alias("frequency"),
         F.avg("gross_before_discount").alias("amount"))
     return per_customer.select(
@@ -90,14 +93,23 @@ def customer_city(order_rows: DataFrame) -> DataFrame:
 
 
 def rfm_report(facts: DataFrame, order_rows: DataFrame, as_of: date,
-               ordered: bool = False, keep: Keep = hold) -> DataFrame:
+               ordered: bool = False, keep: Keep = hold,
+               totals: Totals | None = None) -> DataFrame:
     """Scores, class and city per customer.
 
     ``order_rows`` needs only customer and location: passing the plain order
     rows keeps invoices and rates out of the city lookup. ``ordered`` sorts by
     falling score (a range-partitioned global sort). ``keep`` stores the
-    per-customer measures, which the breaks and the scoring both read.
+    per-customer measures, which the breaks and the scoring both read. With
+    ``totals`` the orders of all customers have to be those that went in, and
+    the report has to show each measured customer once.
     """
-    report = left_join(rfm_class(keep(rfm_base(facts, as_of))),
-                       customer_city(order_rows), "customer")
-    return report.orderBy(F.desc("score"), "customer") if ordered else report
+    base = watched(totals, rfm_base(facts, as_of, totals), "rfm_base",
+                   orders=F.sum("frequency"), customers=F.count(F.lit(1)))
+    report = left_join(rfm_class(keep(base)), customer_city(order_rows), "customer")
+    if ordered:
+        report = report.orderBy(F.desc("score"), "customer")
+    if totals is not None:
+        totals.agree("priced_orders.orders", "rfm_base.orders")
+        totals.agree("rfm_base.customers", "rfm_report.customers")
+    return watched(totals, report, "rfm_report", customers=F.count(F.lit(1)))

@@ -7,13 +7,15 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import days_between, ratio, start_of_month, start_of_previous_month
+from ..functions import (days_between, ratio, start_of_month, start_of_previous_month,
+                         strict_max, strict_min)
 from ..functions._cols import ColumnLike, as_col
 from ..functions.dates import day_of
 from ..operators.aggregates import frequency_table, global_median
 from ..operators.joins import left_join
 from ..operators.reshape import crosstab
 from ..operators.reuse import Keep, hold
+from ..operators.totals import Totals, watched
 
 # The four stages.
 STAGES = ("Stage 1A", "Stage 1B", "Stage 2", "Stage 3")
@@ -38,11 +40,14 @@ def lifecycle_stage(orders: ColumnLike, since: ColumnLike, gap: ColumnLike) -> C
 
 
 def stage_base(rows: DataFrame) -> DataFrame:
-    """First, last and number of valid orders by customer, segment and city."""
+    """First, last and number of valid orders by customer, segment and city.
+
+    A valid order without a date makes first, last and gap unknown.
+    """
     return (rows.where(F.col("is_valid") == 1)
             .groupBy("customer", "segment", "location")
-            .agg(F.min(day_of("created_at")).alias("first_order"),
-                 F.max(day_of("created_at")).alias("last_order"),
+            .agg(strict_min(day_of("created_at")).alias("first_order"),
+                 strict_max(day_of("created_at")).alias("last_order"),
                  F.sum("is_valid").alias("orders"))
             .withColumn("gap", order_gap("first_order", "last_order", "orders")))
 
@@ -60,12 +65,20 @@ def impute_gaps(base: DataFrame) -> DataFrame:
             .withColumn("filled_gap", F.coalesce("gap", "segment_gap", median)))
 
 
-def stage_report(rows: DataFrame, as_of: date, keep: Keep = hold) -> DataFrame:
+def stage_report(rows: DataFrame, as_of: date, keep: Keep = hold,
+                 totals: Totals | None = None) -> DataFrame:
     """Stage and lifespan per customer, segment and city.
 
     ``keep`` stores the base, which the gap statistics and the report read.
+    With ``totals`` the orders of the base have to be the valid orders.
     """
-    filled = impute_gaps(keep(stage_base(rows)))
+    rows = watched(totals, rows, "orders", valid=F.sum("is_valid"))
+    base = watched(totals, stage_base(rows), "stage_base", orders=F.sum("orders"),
+                   groups=F.count(F.lit(1)))
+    if totals is not None:
+        totals.agree("orders.valid", "stage_base.orders")
+        totals.agree("stage_base.groups", "stage_report.groups")
+    filled = watched(totals, impute_gaps(keep(base)), "stage_report", groups=F.count(F.lit(1)))
     since = days_between(F.lit(as_of), "last_order")
     return filled.withColumns({
         "since_last_order": since,
@@ -82,7 +95,7 @@ def transition_report(rows: DataFrame, as_of: date, keep: Keep = hold) -> DataFr
     """Stage of each customer at the start of the last and of this month.
 
     One aggregation with conditional sums by cut-off. An order on a cut-off
-    day belongs to the earlier slice. Customers whose first valid order came
+    day belongs to the earlier slice, one without a date to none. Customers whose first valid order came
     after the earlier cut-off are left out. A single-order gap is filled with
     the median of the earlier slice at both cut-offs. The location is that of
     the first order, valid or not.

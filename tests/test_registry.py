@@ -1,5 +1,9 @@
 """Every registered query against its SQL, and the driver contract."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as contract
@@ -20,6 +24,17 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(contract.queries())
 
 
+@pytest.mark.parametrize("absent", ["public_tokenizers", "zstandard", "patronflow.llm",
+                                    "corpus_pipeline"])
+def test_core_queries_do_without_the_text_operators(absent):
+    """Whatever the text operators lack, the core queries are registered."""
+    code = (f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as e; "
+            "from checks.queries import QUERIES; assert set(e.queries()) == set(QUERIES)")
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], capture_output=True, text=True,
+                          cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert done.returncode == 0, done.stderr
+
+
 def test_entry(spark):
     assert contract.entry(spark).columns == [
         "initial_cohort", "since_first_order", "returning", "initial", "percent"]
