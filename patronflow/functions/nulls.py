@@ -18,16 +18,38 @@ def _strict(agg: Column, column: Column) -> Column:
     return F.when(F.count(column) == F.count(F.lit(1)), agg)
 
 
-def strict_min(column: ColumnLike) -> Column:
-    """Aggregate: minimum, NULL if any input of the group is NULL."""
+def collated(column: ColumnLike, collate: str | None) -> Column:
+    """A sort key: the text in the order of a collation, then of its bytes.
+
+    Source systems sort texts by their locale (``a`` before ``B``, ``é`` next to
+    ``e``); Spark's default is the order of the bytes, as with ``collate=None``.
+    Names are Spark's: ``UNICODE``, ``de``, ``fr_CI`` and so on. Texts that a
+    collation takes for equal keep the order of their bytes, so a pick among them
+    does not depend on partitioning.
+    """
     column = as_col(column)
-    return _strict(F.min(column), column)
+    return column if collate is None else F.struct(
+        F.collate(column, collate).alias("key"), column.alias("text"))
 
 
-def strict_max(column: ColumnLike) -> Column:
-    """Aggregate: maximum, NULL if any input of the group is NULL."""
+def _pick(pick, column: Column, collate: str | None) -> Column:
+    if collate is None:
+        return pick(column)
+    return pick(F.when(column.isNotNull(), collated(column, collate)))["text"]
+
+
+def strict_min(column: ColumnLike, collate: str | None = None) -> Column:
+    """Aggregate: minimum, NULL if any input of the group is NULL; a text by the
+    order of ``collate`` (see :func:`collated`)."""
+    column = as_col(column)
+    return _strict(_pick(F.min, column, collate), column)
+
+
+def strict_max(column: ColumnLike, collate: str | None = None) -> Column:
+    """Aggregate: maximum, NULL if any input of the group is NULL; a text by the
+    order of ``collate`` (see :func:`collated`)."""
     column = as_col(column)
-    return _strict(F.max(column), column)
+    return _strict(_pick(F.max, column, collate), column)
 
 
 def strict_sum(column: ColumnLike) -> Column:

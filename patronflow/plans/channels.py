@@ -107,15 +107,16 @@ def voucher_channels(blocks: DataFrame, models: DataFrame,
         last_match("block_channel", VOUCHER_RULES, "'Other'").alias("voucher_channel"))
 
 
-def funnel_channels(funnel: DataFrame) -> DataFrame:
-    """Smallest first and last channel per order, NULL-strict.
+def funnel_channels(funnel: DataFrame, collate: str | None = None) -> DataFrame:
+    """Smallest first and last channel per order, NULL-strict, in the order of the
+    bytes or of a collation.
 
     Repeated funnel rows need no separate de-duplication: they do not change
     a minimum.
     """
     return funnel.groupBy(F.col("order_reference").alias("order")).agg(
-        strict_min("first_channel").alias("first_channel"),
-        strict_min("last_channel").alias("last_channel"))
+        strict_min("first_channel", collate).alias("first_channel"),
+        strict_min("last_channel", collate).alias("last_channel"))
 
 
 def touchpoints(orders: DataFrame, vouchers: DataFrame, funnel: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import days_between, month_of, ratio
 from ..operators.aggregates import global_median, median_by
 from ..operators.joins import left_join
-from ..operators.reuse import Keep, hold
+from ..operators.reuse import Keep, hold, hold_by
 from ..operators.totals import Totals, watched
 from .stages import STAGES
 
@@ -40,8 +40,11 @@ def customer_lifespan(stages: DataFrame, channels: DataFrame) -> DataFrame:
     from the latest row, ordered by first order and city.
     """
     order = F.struct("first_order", "location")
+    # Few rows per customer, so plain equality: the rows are exchanged once, for
+    # the join and the aggregate, and a table bucketed by customer not at all.
     rows = left_join(stages.select("customer", "location", "orders", "stage",
-                                   "first_order", "last_order"), channels, "customer")
+                                   "first_order", "last_order"), channels, "customer",
+                     missing="lookup")
     per_customer = rows.groupBy("customer").agg(
         F.min_by(F.struct("location", "stage", "first_channel", "first_order"), order)
         .alias("first"),
@@ -80,7 +83,7 @@ def monthly_metrics(facts: DataFrame, channels: DataFrame,
         F.sum("gross_before_discount").alias("gross"),
         F.sum(F.when(priced, F.col("is_valid"))).alias("priced_orders"))
     cell = ["month", "location", "first_channel"]
-    per_customer = (left_join(monthly, channels, "customer")
+    per_customer = (left_join(monthly, channels, "customer", missing="lookup")
                     .groupBy("customer", *cell)
                     .agg(*[F.sum(c).alias(c) for c in ("orders", "gross", "priced_orders")]))
     cells = per_customer.groupBy(*cell).agg(
@@ -103,9 +106,11 @@ def clv_report(facts: DataFrame, customers: DataFrame, stages: DataFrame,
 
     Missing values become 0, in text columns the text given by ``fill_text``
     (None keeps NULL). ``keep`` stores the two per-customer tables that are
-    read more than once.
+    read more than once, the channels bucketed by customer: both joins that look
+    a channel up read them without an exchange.
     """
-    channels = keep(customer_channels(customers, first_channel))
+    bucketed = hold_by("customer") if keep is hold else keep
+    channels = bucketed(customer_channels(customers, first_channel))
     lifespans = keep(customer_lifespan(stages, channels))
     table = left_join(monthly_metrics(facts, channels, totals), lifespan_by_city(lifespans),
                       "location")

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import bin_index, days_between, equal_width_bin, recode, strict_max
+from ..functions import bin_index, days_between, equal_width_bin, recode, strict_max, strict_min
 from ..functions.dates import day_of
 from ..operators.codes import text_codes
 from ..operators.joins import left_join
@@ -83,11 +83,15 @@ def rfm_class(base: DataFrame) -> DataFrame:
             .withColumn("class_name", recode("rfm_class", CLASSES)))
 
 
-def customer_city(order_rows: DataFrame) -> DataFrame:
+def customer_city(order_rows: DataFrame, collate: str | None = None) -> DataFrame:
     """First location in text order over all orders of a customer.
 
-    NULL as soon as one order has no location.
+    NULL as soon as one order has no location. The order is that of the bytes, or
+    of a collation.
     """
+    if collate:
+        return order_rows.groupBy("customer").agg(
+            strict_min("location", collate).alias("location"))
     codes = text_codes(order_rows, {"location": "location"})
     return order_rows.groupBy("customer").agg(codes.strict_min("location").alias("location"))
 
