@@ -13,6 +13,8 @@ driver, and no task holds more than a part of one length.
 
 from __future__ import annotations
 
+import os
+import unicodedata
 import zlib
 from collections import deque
 from functools import lru_cache
@@ -99,15 +101,21 @@ class WordTokens:
     """Ids of a text whose tokenizer drops white space between words.
 
     Words between blanks do not influence each other there, so each distinct
-    word is tokenized once (a bounded cache of id bytes). Words of letters alone
+    word is tokenized once (a bounded cache of id bytes). Texts are lower-cased
+    first, as the tokenizer does, so that there are fewer. Words of letters alone
     are one pre-token each and are tokenized many at a time; their ends show in
-    the ids. A tail of punctuation is a pre-token of its own.
+    the ids. A tail of punctuation is a pre-token of its own. One letter becomes a
+    letter and a mark when lower-cased (:data:`DOTTED`), and the mark joins what follows:
+    words and texts with it are left to the tokenizer as they are.
     """
 
     TAIL = ".,;:!?|*#$%&"
+    DOTTED = "\u0130"
     TOGETHER = 500
 
     def __init__(self, path: str):
+        # A task has one core; the worker process is this task's own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -119,9 +127,10 @@ class WordTokens:
     def _learn(self, new: list[str]) -> None:
         plain = [w for w in new if w.isalpha()]
         odd = [w for w in new if not w.isalpha()]
-        for at in range(0, len(plain), self.TOGETHER):
-            part = plain[at:at + self.TOGETHER]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+        parts = [plain[at:at + self.TOGETHER] for at in range(0, len(plain), self.TOGETHER)]
+        found = self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
+        for part, encoded in zip(parts, found, strict=True):
+            ids = np.array(encoded.ids, "<u4")
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) != len(part):  # letters that the tokenizer cuts or drops
                 odd += part
@@ -130,7 +139,8 @@ class WordTokens:
             for word, end in zip(part, ends.tolist(), strict=True):
                 self.known[word] = data[4 * begin:4 * end]
                 begin = end
-        for word, e in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False), strict=True):
+        for word, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False),
+                           strict=True):
             self.known[word] = np.array(e.ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
@@ -143,8 +153,11 @@ class WordTokens:
         for word in words:
             if word in known:
                 continue
+            if word[-1:] not in self.TAIL:  # the empty word is known
+                parts.add(word)
+                continue
             stem = word.rstrip(self.TAIL)
-            if stem and len(stem) < len(word) and stem.isalpha():
+            if stem.isalpha() and self.DOTTED not in stem:
                 stems[word] = stem
                 parts.update((stem, word[len(stem):]))
             else:
@@ -153,15 +166,27 @@ class WordTokens:
         for word, stem in stems.items():
             known[word] = known[stem] + known[word[len(stem):]]
 
+    def lower(self, text: str) -> str:
+        """The text in lower case, if the tokenizer sees no difference; else itself.
+
+        It looks for special tokens first, then composes marks, then lowers the
+        letters one by one, so letters that compose once they are lowered stay as they are.
+        """
+        if self.DOTTED in text or "<|" in text or not unicodedata.is_normalized("NFC", text):
+            return text
+        # A capital sigma has one lower-case form to the tokenizer, wherever it stands.
+        low = text.replace("\u03a3", "\u03c3").lower()
+        return low if unicodedata.is_normalized("NFC", low) else text
+
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        split = [self.lower(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
                  for t in texts]
         new: set[str] = set()
         for words in split:
             new.update(words)
         self.learn(new)
         known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in split]
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
 
 
 @lru_cache(maxsize=1)

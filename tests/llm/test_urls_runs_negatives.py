@@ -199,3 +199,35 @@ def test_tree_bounds_cover_their_members():
         assert np.linalg.norm(points[below] - points[node], axis=1).max() <= tree.radius[node] + 1e-6
         depth += 1
     assert depth > 3 and sorted(tree.ids) == list(range(900))
+
+
+# --- Token ids over many scripts -----------------------------------------------------
+
+def test_word_tokens_equal_the_plain_tokenizer():
+    """Random texts over many scripts, marks and punctuation, special tokens included."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from patronflow.llm import packing
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain, fast = Tokenizer.from_file(path), packing.WordTokens(path)
+    letters = [chr(c) for a, b in (
+        (0x41, 0x5B), (0x61, 0x7B), (0xC0, 0x250), (0x370, 0x530), (0x531, 0x590), (0x5D0, 0x5EB),
+        (0x620, 0x660), (0x905, 0x960), (0x1E00, 0x2000), (0x2100, 0x2150), (0x3040, 0x3100),
+        (0x4E00, 0x4E40), (0xAC00, 0xAC20), (0x10400, 0x10450), (0xFF21, 0xFF5B)) for c in range(a, b)]
+    marks = [chr(c) for c in range(0x300, 0x345)] + ["‍", "ͅ", "़"]
+    others = list(".,;:!?|*#$%&'\"()-_/<>[]{}@^~`0123456789 \u0085\x0b\x0c\x1c\n\t\r") + [
+        "'s", "'ll", "İ", "İ!!", "Σ", "ΑΣ", "ẞ", "ŉ", "ǰ", "K",
+        "Å", "<|endoftext|>", "<|ENDOFTEXT|>", "</w>"]
+    rng = random.Random(8)
+    texts = ["İ!!", "TÜRKÇE BİLGİ. EVİ, GELDİ!", "", None]
+    for _ in range(12_000):
+        texts.append("".join(rng.choice(letters) if x < 0.55 else rng.choice(marks) if x < 0.62
+                             else " " if x < 0.75 else rng.choice(others)
+                             for x in (rng.random() for _ in range(rng.randint(0, 25)))))
+    for at in range(0, len(texts), 500):
+        part = texts[at:at + 500]
+        want = [e.ids for e in plain.encode_batch([t or "" for t in part], add_special_tokens=False)]
+        got = [ids.tolist() for ids in fast.batch(part)]
+        assert got == want, [(t, g, w) for t, g, w in zip(part, got, want) if g != w][:3]
