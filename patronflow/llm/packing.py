@@ -104,12 +104,12 @@ class WordTokens:
     word is tokenized once (a bounded cache of id bytes). Texts are lower-cased
     first, as the tokenizer does, so that there are fewer. Words of letters alone
     are one pre-token each and are tokenized many at a time; their ends show in
-    the ids. A tail of punctuation is a pre-token of its own. One letter becomes a
-    letter and a mark when lower-cased (:data:`DOTTED`), and the mark joins what follows:
-    words and texts with it are left to the tokenizer as they are.
+    the ids. A tail of punctuation is a pre-token of its own, but for letters that
+    become a letter and a mark when composed or lower-cased: the mark joins the tail.
     """
 
     TAIL = ".,;:!?|*#$%&"
+    #: The letter that lower case turns into a letter and a mark.
     DOTTED = "\u0130"
     TOGETHER = 500
 
@@ -157,7 +157,8 @@ class WordTokens:
                 parts.add(word)
                 continue
             stem = word.rstrip(self.TAIL)
-            if stem.isalpha() and self.DOTTED not in stem:
+            if stem.isascii() and stem.isalpha() or \
+                    unicodedata.normalize("NFC", stem).lower().isalpha():
                 stems[word] = stem
                 parts.update((stem, word[len(stem):]))
             else:

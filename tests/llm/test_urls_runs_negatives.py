@@ -221,7 +221,7 @@ def test_word_tokens_equal_the_plain_tokenizer():
         "'s", "'ll", "İ", "İ!!", "Σ", "ΑΣ", "ẞ", "ŉ", "ǰ", "K",
         "Å", "<|endoftext|>", "<|ENDOFTEXT|>", "</w>"]
     rng = random.Random(8)
-    texts = ["İ!!", "TÜRKÇE BİLGİ. EVİ, GELDİ!", "", None]
+    texts = ["İ!!", "TÜRKÇE BİLGİ. EVİ, GELDİ!", "ढ़! फ़.", "", None]
     for _ in range(12_000):
         texts.append("".join(rng.choice(letters) if x < 0.55 else rng.choice(marks) if x < 0.62
                              else " " if x < 0.75 else rng.choice(others)
