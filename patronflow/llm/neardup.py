@@ -109,16 +109,17 @@ def digests(values: np.ndarray, first: np.ndarray) -> list[bytes | None]:
 
 
 def describe(docs: DataFrame, text: str, width: int) -> DataFrame:
-    """``id, class, n_shingles, signature`` of every document; the class is a
-    128-bit digest of the shingle set, NULL without words."""
+    """``id, place, class, n_shingles, signature`` of every document (``id, place,
+    text``); the class is a 128-bit digest of the shingle set, NULL without words."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         values, first = shingles(Words(batch["text"]), width)
         return pa.RecordBatch.from_arrays(
-            [batch["id"], pa.array(digests(values, first), pa.binary()),
+            [batch["id"], batch["place"], pa.array(digests(values, first), pa.binary()),
              pa.array(np.diff(first), pa.int64()),
-             pa.array(minima(values, first), pa.binary())], ["id", "class", "n_shingles", "signature"])
+             pa.array(minima(values, first), pa.binary())],
+            ["id", "place", "class", "n_shingles", "signature"])
 
-    return map_texts(docs, text, "id long, class binary, n_shingles long, signature binary", run)
+    return map_texts(docs, text, "id long, place long, class binary, n_shingles long, signature binary", run)
 
 
 def _labels(classes: DataFrame, *more: str) -> DataFrame:
@@ -423,7 +424,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
       equal set that has an id; else ``component_id`` is NULL and it is kept.
     * Other columns are ignored, whatever their names. No rows: no rows.
     """
-    named = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    return _verdicts(docs, doc_id, text, width, percent).drop("place")
+
+
+def _verdicts(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
+    """:func:`near_duplicates` with ``place``, a hash of the row's text."""
+    named = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("place"),
+                        F.col(text).alias("text"))
     rows = store(describe(named, "text", width))
     filled = rows.filter(F.col("class").isNotNull())
     classes = store(filled.groupBy("class").agg(
@@ -465,7 +472,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     out = rows.drop("signature").join(verdicts, "class", "left")
     component = F.coalesce("component_id", "id")
     return out.select(
-        F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"),
+        F.col("id").alias("doc_id"), "place", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("id") == component, component.isNull()).alias("kept"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
@@ -516,12 +523,20 @@ def _texts_of(named: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return map_texts(rows, "text", "class binary, text string", run)
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, width: int = 5,
+             percent: int = 80) -> DataFrame:
     """The documents without near-duplicates: one of each group stays, with all
-    its columns. Rows whose id is NULL stay unless a row with an id is like
-    them; rows that repeat a kept id with the same text stay together."""
-    verdicts = near_duplicates(docs, doc_id, text, **options)
-    gone = verdicts.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    key = free_name(docs, "near_id")
-    return docs.join(gone.withColumnRenamed("doc_id", key),
-                     F.col(doc_id).cast("long") == F.col(key), "left_anti")
+    its columns.
+
+    * Rows are told apart by id and text: another text under the id of a
+      document that goes is judged on its own.
+    * Rows whose id is NULL stay unless a row with an id has the same shingles; rows
+      that repeat a kept id with the same text stay together.
+    * NULL, empty and blank texts stay. No rows: no rows.
+    """
+    verdicts = _verdicts(docs, doc_id, text, width, percent)
+    id_, place = free_name(docs, "near_id"), free_name(docs, "near_place")
+    gone = verdicts.filter(~F.col("kept")).select(
+        F.col("doc_id").alias(id_), F.col("place").alias(place)).distinct()
+    return docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col(id_))
+                     & (F.xxhash64(text) == F.col(place)), "left_anti")

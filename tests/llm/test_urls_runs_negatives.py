@@ -231,3 +231,81 @@ def test_word_tokens_equal_the_plain_tokenizer():
         want = [e.ids for e in plain.encode_batch([t or "" for t in part], add_special_tokens=False)]
         got = [ids.tolist() for ids in fast.batch(part)]
         assert got == want, [(t, g, w) for t, g, w in zip(part, got, want) if g != w][:3]
+
+
+# --- Language filters and one document of each group ---------------------------------
+
+def test_filters_hold_what_the_sets_hold():
+    """Bit-sliced lookups against plain sets, over more than one word of languages."""
+    from patronflow.llm import langid
+
+    rng = np.random.default_rng(3)
+    for count in (3, 8, 70):
+        sets = {f"l{k:02}": np.unique(rng.integers(0, 5000, 600)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                for k in range(count)}
+        model = langid.Model.build(sets, {}, hashes=4)
+        asked = np.arange(5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        mask, width = model.lookup(asked), 8 * model.slices.dtype.itemsize
+        assert model.slices.shape[1] == -(-count // width)
+        for k, name in enumerate(model.languages):
+            got = (mask[:, k // width] >> mask.dtype.type(k % width)) & mask.dtype.type(1)
+            true = np.isin(asked, sets[name])
+            assert got[true].all()
+            wrong = got[~true].mean()
+            assert wrong <= 4 * model.false_positive[k] + 0.002
+
+
+def invented(rng, k, words=40):
+    letters = [chr(0x400 + (7 * k + j) % 60) + chr(0x561 + (5 * k + j) % 38) for j in range(8)]
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 4))) for _ in range(words))
+
+
+def test_seventy_languages(spark):
+    from patronflow.llm import langid
+
+    rng = random.Random(6)
+    rows = [(70 * n + k, invented(rng, k), f"l{k}") for n in range(12) for k in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.held_out, r.lang_pred) for r in langid.identify(docs).collect()}
+    held = [(i, lang) for i, _, lang in rows if got[i][0]]
+    assert len(held) > 150
+    assert sum(got[i][1] == lang for i, lang in held) >= 0.95 * len(held)
+
+
+def test_unlabelled_and_foreign_documents(spark):
+    from patronflow.llm import langid
+
+    rng = random.Random(7)
+    rows = [(n, invented(rng, n % 3), f"l{n % 3}" if n % 5 else None, n) for n in range(90)]
+    odd = [(100, "中文文本在这里写了很多字符用于测试语言识别", None, 0), (101, "qxzv jjkw zzqp vvkx", None, 0),
+           (102, None, "l0", 0), (103, "", "l1", 0), (104, "123 !", "l1", 0)]
+    schema = "doc_id long, text string, lang string, lang_pred int"
+    docs = spark.createDataFrame(rows + odd, schema)
+    kept = langid.keep_known(docs, key=["doc_id"])
+    assert kept.columns == docs.columns
+    got = {r.doc_id: r.lang for r in kept.collect()}
+    assert got == {n: f"l{n % 3}" for n in range(90)}
+    unlabelled = docs.withColumn("lang", docs["lang"].substr(9, 1)).replace("", None, ["lang"])
+    assert {r.doc_id for r in langid.keep_known(unlabelled).collect()} == {*range(90), 100, 101}
+    assert {(r.lang_pred, r.score) for r in langid.identify(unlabelled).collect()} == {("und", 0.0)}
+    assert langid.keep_known(docs.limit(0)).collect() == []
+
+
+def test_a_copied_text_does_not_break_the_sample_bound(spark):
+    from patronflow.llm import langid
+
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'the same text' AS text", "'en' AS lang")
+    sample, sizes = langid.labelled_sample(docs, key=["doc_id"], most_rows=400)
+    assert sizes == {"en": 4000} and 250 < sample.count() < 550
+
+
+def test_another_text_under_a_dropped_id_stays(spark):
+    from patronflow.llm import neardup
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    docs = spark.createDataFrame([(3, a, 1), (5, a, 2), (5, b, 3), (6, c, 4), (None, a, 5), (None, b, 6),
+                                  (None, c + " z", 7), (None, None, 8), (6, c, 9), (9, c + " z", 10)],
+                                 "doc_id long, text string, near_id int")
+    got = sorted(r.near_id for r in neardup.keep_one(docs).collect())
+    # Row 7 equals row 10, which goes for row 4.
+    assert got == [1, 3, 4, 8, 9]
