@@ -1,8 +1,10 @@
 """Operator 6: document fingerprints by winnowing, in built-in functions only.
 
-A text is a sequence of units: its words, or its characters where words are
-longer than :data:`LONG_WORD` on average. Every run of :data:`K` units has a
-hash; every window of :data:`W` such hashes gives its minimum, the rightmost if
+A text is a sequence of units: its words, but single characters in scripts that
+are written without blanks and in words longer than :data:`LONG_WORD`. A unit depends on
+its own word alone, so a shared stretch has the same units whatever surrounds it.
+Every run of :data:`K` units has a hash, rolled along the units (cyclic polynomial: the
+hash of each unit, rotated by its place, all combined by exclusive or); every window of :data:`W` such hashes gives its minimum, the rightmost if
 several are equal. The fingerprint is the set of those minima with their
 positions, so two texts that share :data:`W` + :data:`K` - 1 units in a row share
 at least one minimum.
@@ -24,28 +26,44 @@ LONG_WORD = 32
 _POSITION_BITS = 31
 _LAST = (1 << _POSITION_BITS) - 1
 _BLANKS = " \t\n\x0b\x0c\r"
+# Scripts without blanks between words.
+_SPACELESS = "".join(rf"\p{{Is{s}}}" for s in (
+    "Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+_PART = rf"[^\x20\x09-\x0D{_SPACELESS}]"
+#: A whole word of at most LONG_WORD characters, else one character.
+UNIT = rf"(?<!{_PART}){_PART}{{1,{LONG_WORD}}}(?!{_PART})|{_PART}|[{_SPACELESS}]"
+_CUT = rf"[{_SPACELESS}]|{_PART}{{{LONG_WORD + 1}}}"
 
 
 def _at(name: str, index: Column, step: int) -> Column:
     return F.get(F.col(f"`{name}`"), index + F.lit(step))
 
 
+def _rotated(x: Column, by: int) -> Column:
+    return F.shiftleft(x, by).bitwiseOR(F.shiftrightunsigned(x, 64 - by)) if by else x
+
+
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add ``out``: the selected (hash, position) numbers in text order; empty
     for a NULL or blank text. Fewer than K units are one gram, fewer than W
-    grams one window."""
+    grams one window. Texts of any length are handled whole, in linear time."""
     own = [f"`{c}`" for c in df.columns]
     trimmed = F.btrim(F.col(text), F.lit(_BLANKS))
     words = F.split(trimmed, "[\\x20\\x09-\\x0D]+")
-    units, grams, mins = (free_name(df, f"_{out}_{n}") for n in ("units", "grams", "mins"))
-    df = df.select(*own, F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
-        F.coalesce(words, F.array().cast("array<string>"))).alias(units))
-    df = df.select(*own, F.when(
-        F.size(units) * LONG_WORD < F.length(text), F.split(F.col(text), "")).otherwise(
-        F.col(units)).alias(units))
-    df = df.select(*own, F.slice(F.transform(units, lambda x, i: F.xxhash64(
-        x, *[_at(units, i, k) for k in range(1, K)]).bitwiseAND(F.lit(-1 << _POSITION_BITS))
-        .bitwiseOR(F.lit(_LAST) - i)), 1, F.greatest(F.size(units) - (K - 1), F.lit(1))).alias(grams))
+    hashes, grams, mins = (free_name(df, f"_{out}_{n}") for n in ("hashes", "grams", "mins"))
+    # Where no word is cut, the words are the units, and splitting is cheaper.
+    units = F.when(F.col(text).rlike(_CUT), F.regexp_extract_all(F.col(text), F.lit(UNIT), F.lit(0))).when(
+        trimmed != "", words).otherwise(F.array().cast("array<string>"))
+    df = df.select(*own, F.transform(units, lambda x: F.xxhash64(x)).alias(hashes))
+
+    def rolled(x: Column, i: Column) -> Column:
+        out = _rotated(x, K - 1)
+        for k in range(1, K):
+            out = out.bitwiseXOR(_rotated(F.coalesce(_at(hashes, i, k), F.lit(0)), K - 1 - k))
+        return out.bitwiseAND(F.lit(-1 << _POSITION_BITS)).bitwiseOR(F.lit(_LAST) - i)
+
+    df = df.select(*own, F.slice(F.transform(hashes, rolled), 1, F.greatest(
+        F.size(hashes) - (K - 1), F.lit(1))).alias(grams))
     df = df.select(*own, F.slice(F.transform(grams, lambda x, i: F.least(
         x, *[_at(grams, i, k) for k in range(1, W)])), 1,
         F.greatest(F.size(grams) - (W - 1), F.lit(1))).alias(mins))

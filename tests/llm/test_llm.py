@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 import struct
 import zlib
@@ -10,6 +11,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from patronflow.llm import (brown, langid, mixing, neardup, packing, pii, quality, tokencount, warc,
                             winnow)
@@ -206,9 +208,36 @@ def test_sketch_bins(spark):
 
 
 def _winnow(text):
-    w = words(text)
-    units = list(text or "") if len(w) * winnow.LONG_WORD < len(text or "") else w
-    return units
+    """Units, and the selected (hash, place) pairs, by plain loops."""
+    import regex
+    import xxhash
+
+    units = [u for word in re.findall(r"[^\x20\x09-\x0D]+", text or "")
+             for run in regex.findall(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+                                      r"|[^\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]+", word)
+             for u in ([run] if len(run) <= winnow.LONG_WORD else run)]
+    hashes = [xxhash.xxh64(u.encode(), seed=42).intdigest() for u in units]
+    full = (1 << 64) - 1
+    grams = []
+    for i in range(max(len(units) - winnow.K + 1, 1 if units else 0)):
+        value = 0
+        for k, h in enumerate((hashes + [0] * winnow.K)[i:i + winnow.K]):
+            by = winnow.K - 1 - k
+            value ^= ((h << by) | (h >> (64 - by))) & full
+        grams.append((value - (1 << 64) if value >> 63 else value) >> 31)
+    picked = []
+    for i in range(max(len(grams) - winnow.W + 1, 1 if grams else 0)):
+        window = grams[i:i + winnow.W]
+        least = min(window)
+        at = max(k for k, g in enumerate(window) if g == least) + i
+        if (least, at) not in picked[-1:]:
+            picked.append((least, at))
+    return units, picked
+
+
+def _alike(one, other):
+    a, b = ({h for h, _ in _winnow(t)[1]} for t in (one, other))
+    return len(a & b) / len(a | b) if a | b else 1.0
 
 
 def test_winnowing(spark, docs, rows, nothing):
@@ -224,17 +253,32 @@ def test_winnowing(spark, docs, rows, nothing):
         g = got[r["doc_id"]]
         if sum(x["doc_id"] == r["doc_id"] for x in rows) == 1:
             assert (g.n_chars, g.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+            if len(text) < 3000 and len(other) < 3000:
+                assert g.near_edited == pytest.approx(_alike(text, edited))
+                assert g.near_next == pytest.approx(_alike(text, other))
         assert prints.setdefault(text, g.fingerprint) == g.fingerprint
         assert 0 <= g.near_edited <= 1 and 0 <= g.near_next <= 1
     assert winnow.fingerprints(nothing).count() == 0
-    # selection: rightmost minimum of every window, by its own hashes
-    some = docs.filter("length(text) between 1 and 3000").select("text")
-    for r in winnow.with_fingerprint(some, "text", "p").select("text", "p", winnow.positions_of("p").alias("at")).collect():
-        units = _winnow(r.text)
-        n = max(len(units) - winnow.K + 1, 1 if units else 0)
-        assert all(0 <= x < max(n, 1) for x in r["at"]) and sorted(set(r["at"])) == sorted(r["at"])
-        gaps = np.diff([-1, *sorted(r["at"]), n]) if units else []
-        assert all(g <= winnow.W for g in gaps) or n < winnow.W
+    # selection: the rightmost minimum of every window
+    odd = ["", " ", "one", "a b", "a a a a a a a a a a", "x" * 100, "\U0001f600 " * 9, "ab " * 5 + "y" * 33 + " z" * 5,
+           "\u4e2d\u6587abc\u0e44\u0e17\u0e22 w " * 4, "q" * 32 + " " + "r" * 33 + "\u3042" * 3]
+    some = docs.filter("length(text) between 1 and 3000").select("text").union(
+        spark.createDataFrame([(t,) for t in odd], "text string"))
+    packed = winnow.with_fingerprint(some, "text", "p").select(
+        "text", winnow.positions_of("p").alias("at"), F.transform("p", lambda x: F.shiftright(x, 31)).alias("hash"))
+    for r in packed.collect():
+        assert list(zip(r["hash"], r["at"])) == _winnow(r.text)[1]
+
+
+def test_spaceless_text_keeps_its_units(spark):
+    """Three quarters shared: whatever follows, the shared part has the same units."""
+    rng = random.Random(4)
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(900))
+    token = "".join(rng.choice("abcdefghijklmnop") for _ in range(900))
+    prose = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400))
+    docs = spark.createDataFrame([(1, chinese), (2, prose), (3, token), (4, prose)], "doc_id long, text string")
+    near = {r.doc_id: r.near_edited for r in winnow.fingerprints(docs).collect()}
+    assert near[1] >= 0.6 and near[3] >= 0.6
 
 
 def test_packing(docs, rows, nothing):
