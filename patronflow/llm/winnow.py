@@ -26,13 +26,14 @@ LONG_WORD = 32
 _POSITION_BITS = 31
 _LAST = (1 << _POSITION_BITS) - 1
 _BLANKS = " \t\n\x0b\x0c\r"
-# Scripts without blanks between words.
-_SPACELESS = "".join(rf"\p{{Is{s}}}" for s in (
-    "Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+# Code points of scripts without blanks between words (Thai and Lao,
+# Myanmar, Khmer, kana, ideographs). Ranges, as asking for a character's script is slow.
+_SPACELESS = (r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}"
+              r"\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}")
 _PART = rf"[^\x20\x09-\x0D{_SPACELESS}]"
 #: A whole word of at most LONG_WORD characters, else one character.
 UNIT = rf"(?<!{_PART}){_PART}{{1,{LONG_WORD}}}(?!{_PART})|{_PART}|[{_SPACELESS}]"
-_CUT = rf"[{_SPACELESS}]|{_PART}{{{LONG_WORD + 1}}}"
+_CUT = rf"[{_SPACELESS}]|(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{{{LONG_WORD + 1}}}"
 
 
 def _at(name: str, index: Column, step: int) -> Column:

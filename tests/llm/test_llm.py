@@ -212,9 +212,10 @@ def _winnow(text):
     import regex
     import xxhash
 
+    spaceless = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff"
+                 "\U00020000-\U000323af")
     units = [u for word in re.findall(r"[^\x20\x09-\x0D]+", text or "")
-             for run in regex.findall(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
-                                      r"|[^\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]+", word)
+             for run in regex.findall(f"[{spaceless}]|[^{spaceless}]+", word)
              for u in ([run] if len(run) <= winnow.LONG_WORD else run)]
     hashes = [xxhash.xxh64(u.encode(), seed=42).intdigest() for u in units]
     full = (1 << 64) - 1
