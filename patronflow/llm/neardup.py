@@ -109,17 +109,22 @@ def digests(values: np.ndarray, first: np.ndarray) -> list[bytes | None]:
 
 
 def describe(docs: DataFrame, text: str, width: int) -> DataFrame:
-    """``id, place, class, n_shingles, signature`` of every document (``id, place,
-    text``); the class is a 128-bit digest of the shingle set, NULL without words."""
+    """``class, n_shingles, signature`` of every document, after its own columns (``id``
+    at least) without the text; the class is a 128-bit digest of the shingle set, NULL
+    without words."""
+    own = [f for f in docs.schema.fields if f.name != text]
+    names = [f.name for f in own]
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values, first = shingles(Words(batch["text"]), width)
+        values, first = shingles(Words(batch[text]), width)
         return pa.RecordBatch.from_arrays(
-            [batch["id"], batch["place"], pa.array(digests(values, first), pa.binary()),
+            [*[batch[n] for n in names], pa.array(digests(values, first), pa.binary()),
              pa.array(np.diff(first), pa.int64()),
              pa.array(minima(values, first), pa.binary())],
-            ["id", "place", "class", "n_shingles", "signature"])
+            [*names, "class", "n_shingles", "signature"])
 
-    return map_texts(docs, text, "id long, place long, class binary, n_shingles long, signature binary", run)
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in own)
+    return map_texts(docs, text, f"{kinds}class binary, n_shingles long, signature binary", run)
 
 
 def _labels(classes: DataFrame, *more: str) -> DataFrame:
