@@ -181,6 +181,89 @@ def test_exchange_finds_alternating_classes():
     assert len(set(of[1:4])) == 1 and len(set(of[4:])) == 1 and of[1] != of[4] and of[0] == 0
 
 
+def test_words_of_any_number_are_moved(spark, docs, rows, monkeypatch):
+    """Against plain counts: the table after exchange, probabilities that add up, every score."""
+    monkeypatch.setattr(brown, "FREQUENT", 20)
+    monkeypatch.setattr(brown, "ENDINGS", 15)
+    monkeypatch.setattr(brown, "LEAST", 4)
+    fitted = []
+    fit = brown.fit
+    monkeypatch.setattr(brown, "fit", lambda *a: fitted.append(fit(*a)) or fitted[-1])
+    held = lambda r: r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2
+    got = {r.doc_id: r.score for r in brown.score(docs).collect()}
+    model, classes = fitted[0]
+    moved = {r["word"]: r["class"] for r in classes.collect()}
+
+    texts = [words(lower(r["text"])) for r in rows]
+    counts = Counter(w for r, t in zip(rows, texts) if not held(r) for w in t)
+    import pyarrow as pa
+    every = sorted({w for t in texts for w in t})
+    found = brown.Words(pa.array(every))
+    endings = brown.ending_codes(found)
+    hashes = dict(zip(every, found.hash.view(np.int64).tolist()))
+    history = dict(zip(every, model.histories(found.hash, endings).tolist()))
+    unit = dict(zip(every, model.units.of_endings(endings).tolist()))
+    top = set(sorted(counts, key=lambda w: (-counts[w], hashes[w]))[:20])
+    assert {hashes[w] for w in counts if counts[w] >= 4 or w in top} == set(moved) and len(moved) > 40
+    of = {w: moved.get(hashes[w], int(model.of[unit[w]])) for w in every}
+
+    size = len(model.mass)
+    table, seeds = np.zeros((size, size)), np.zeros((size, size))
+    for r, t in zip(rows, texts):
+        if not held(r):
+            before = 0
+            for w in [*t, None]:
+                table[before, of[w] if w else 0] += 1
+                seeds[before, history[w] if w else 0] += 1
+                before = history[w] if w else 0
+    assert brown.likelihood(table) > brown.likelihood(seeds)
+    rare = [w for w in counts if hashes[w] not in moved]
+    mass = np.zeros(size)
+    for w, n in counts.items():
+        mass[of[w]] += n
+    mass[0] += sum(not held(r) for r in rows)
+    for u in [0, *range(1 + 20, model.units.size)]:
+        mass[model.of[u]] += 1
+    assert np.allclose(np.maximum(mass, 1), model.mass)
+    follow = np.log10((table + brown.SMOOTH * np.maximum(mass / mass.sum(), 1e-12))
+                      / (table.sum(axis=1, keepdims=True) + brown.SMOOTH))
+    r_, v_ = Counter(), Counter()
+    for w in rare:
+        r_[unit[w]] += counts[w]
+        v_[unit[w]] += 1
+
+    def inside(w):
+        if hashes[w] in moved:
+            return counts[w] / mass[of[w]]
+        u = unit[w]
+        return (r_[u] + 1) / mass[of[w]] * (counts[w] + 1) / (r_[u] + v_[u] + 1)
+
+    total = np.zeros(size)
+    for w in counts:
+        total[of[w]] += inside(w)
+    for u in range(1 + 20, model.units.size):  # one word never seen in each unit
+        total[model.of[u]] += (r_[u] + 1) / mass[model.of[u]] / (r_[u] + v_[u] + 1)
+    assert np.allclose(total[1:][mass[1:] > 0], 1) and np.allclose((10 ** follow).sum(axis=1), 1)
+    for r, t in zip(rows, texts):
+        before, score = 0, 0.0
+        for w in t:
+            score += follow[before, of[w]] + np.log10(inside(w))
+            before = history[w]
+        assert got[r["doc_id"]] == pytest.approx(score + follow[before, 0], rel=1e-9)
+
+
+def test_improve_finds_the_class_of_every_word(spark):
+    """Words that follow one of two histories, seeded at random; a class each is best."""
+    rows = [(k, 30, 1 + k * 7 % 3 % 2, [(1 + k % 2, 30)]) for k in range(5000)]
+    found = spark.createDataFrame(rows, "word long, n long, class int, hist array<struct<before: int, n: long>>")
+    table = np.zeros((3, 3))
+    for _, n, c, hist in rows:
+        table[hist[0][0], c] += n
+    done, after = brown.improve(found, table)
+    assert len({(r.word % 2, r["class"]) for r in done.collect()}) == 2
+    assert after.sum() == table.sum() and (after > 0).sum() == 2
+
+
 def test_quality(docs, rows, nothing):
     got = Counter()
     for r in quality.judge(docs).collect():
