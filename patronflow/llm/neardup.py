@@ -8,7 +8,10 @@ prefix become neighbours and dense regions are cut by longer prefixes than
 sparse ones. A region is the run of neighbours that share at least
 :data:`DEPTH` leading minima, or more where the run would exceed
 :data:`REGION` rows: the depth adapts. Within its region a class takes the
-next neighbours in order that agree on half of the label.
+next neighbours in order that agree on half of the label. The first
+:data:`FIRST` orders come before the others, which then look for links between
+different components only: a large group of near copies, which the first orders
+have mostly joined, is not paired anew in each order.
 
 Candidates are confirmed on full shingle sets. Where a class had more agreeing
 neighbours than it could take, and where a region was cut (by a longer prefix,
@@ -29,10 +32,10 @@ from pyspark.sql import functions as F
 from .common import Words, batches, free_name, map_texts, mix, store
 from .components import components
 
-HASHES, TREES, LABEL = 128, 16, 16
+HASHES, TREES, FIRST, LABEL = 128, 16, 2, 16
 DEPTH, REGION = 2, 2048
-#: Neighbours a class takes in each round of the forest.
-NEIGHBOURS = (2, 8)
+#: Orders of each round of the forest, and the neighbours a class takes in them.
+ROUNDS = ((range(FIRST), 2), (range(FIRST, TREES), 2), (range(TREES), 8))
 #: Equal minima that a later round asks for: at similarity 0.8 fewer have a chance of 2e-6.
 ALIKE = 80
 #: Counters of shingles by their low bits; they only set the order of shingles.
@@ -127,50 +130,74 @@ def describe(docs: DataFrame, text: str, width: int) -> DataFrame:
     return map_texts(docs, text, f"{kinds}class binary, n_shingles long, signature binary", run)
 
 
-def _labels(classes: DataFrame, *more: str) -> DataFrame:
+def _labels(classes: DataFrame, *more: str, trees: range = range(TREES)) -> DataFrame:
     """One row per class and tree: its signature in that tree's order."""
     step = 2 * (HASHES // TREES)
     twice = F.concat("signature", "signature")
     return (classes.select("class", "root", *more, F.explode(F.array(*[
         F.struct(F.lit(t).alias("tree"), F.substring(twice, 1 + t * step, 2 * LABEL).alias("label"))
-        for t in range(TREES)])).alias("_"))
+        for t in trees])).alias("_"))
         .select("class", "root", F.col("_.tree").alias("tree"), F.col("_.label").alias("label"), *more))
 
 
-def region_pairs(labels: np.ndarray, roots: np.ndarray, most: int | None,
-                 signatures: np.ndarray | None = None, sizes: np.ndarray | None = None,
-                 percent: int = 80):
+def nearest_pairs(labels: np.ndarray, roots: np.ndarray, most: int):
     """Candidate pairs among the rows of one region, given in sorted order.
 
-    A row takes the next ``most`` rows that agree with it on at least half of
-    the label. With ``signatures`` (the later rounds) partners are of another
-    component, agree on :data:`ALIKE` minima of the whole signature and have a
-    set size that allows the similarity (``sizes``, within ``percent``); only rows outside the largest component of the region look for
-    them, which misses no pair of components, and take those that agree most.
-    Also returns the rows that had to leave partners out.
+    A row takes the next ``most`` rows of other components that agree with it on at
+    least half of the label. If one component holds more than half of the region, only
+    the other rows look: for the next rows, and for as many rows of that component
+    before them. So the pairs stay in proportion to the rows that are still apart. Also
+    returns the rows that had to leave partners out.
+    """
+    n, half = len(labels), labels.shape[1] // 2
+    left, right, full = [], [], []
+    names, members = np.unique(roots, return_counts=True)
+    main = roots == names[np.argmax(members)]
+    large = 2 * main.sum() > n
+    look = np.flatnonzero(~main) if large else np.arange(n)
+    place = np.arange(n)
+    step = max(1, (1 << 21) // max(n, 1))
+    for part in (look[k:k + step] for k in range(0, len(look), step)):
+        agree = np.zeros((len(part), n), dtype=np.int16)
+        for k in range(labels.shape[1]):
+            agree += labels[part, k, None] == labels[None, :, k]
+        ok = (agree >= half) & (roots[part, None] != roots[None, :])
+        ways = [(ok & (part[:, None] < place[None, :]), 1)]
+        if large:
+            ways.append((ok & (part[:, None] > place[None, :]) & main[None, :], -1))
+        for fit, way in ways:
+            rank = np.cumsum(fit[:, ::way], axis=1, dtype=np.int32)[:, ::way]
+            i, j = np.nonzero(fit & (rank <= most))
+            left.append(part[i])
+            right.append(j)
+            full.append(part[rank.max(axis=1) > most])
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(left) if left else none, np.concatenate(right) if right else none,
+            np.unique(np.concatenate(full)) if full else none)
+
+
+def region_pairs(labels: np.ndarray, roots: np.ndarray, most: int | None, signatures: np.ndarray,
+                 sizes: np.ndarray, percent: int = 80):
+    """Like :func:`nearest_pairs` by the whole signatures: partners are of another
+    component, agree on half of the label and on :data:`ALIKE` minima, and have a
+    set size that allows the similarity (``sizes``, within ``percent``). Only rows outside
+    the largest component of the region look for them, which misses no pair of
+    components, and take those that agree most.
     """
     n = len(labels)
     left, right, full = [], [], []
     names, members = np.unique(roots, return_counts=True)
     main = names[np.argmax(members)]
     step = max(1, (1 << 21) // max(n, 1))
-    for a in range(0, n - 1 if signatures is None else n, step):
+    for a in range(0, n, step):
         b = min(n, a + step)
-        if signatures is not None and (roots[a:b] == main).all():
+        if (roots[a:b] == main).all():
             continue
         agree = np.zeros((b - a, n), dtype=np.int16)
         for k in range(labels.shape[1]):
             agree += labels[a:b, k, None] == labels[None, :, k]
         ok = agree >= labels.shape[1] // 2
         ok &= roots[a:b, None] != roots[None, :]
-        if signatures is None:
-            ok &= np.arange(a, b)[:, None] < np.arange(n)[None, :]
-            rank = np.cumsum(ok, axis=1, dtype=np.int32)
-            i, j = np.nonzero(ok & (rank <= most))
-            full.append(np.flatnonzero(rank[:, -1] > most) + a)
-            left.append(i + a)
-            right.append(j)
-            continue
         for i in np.flatnonzero(ok.any(axis=1) & (roots[a:b] != main)):
             partners = np.flatnonzero(ok[i])
             own, other = sizes[i + a], sizes[partners]
@@ -268,8 +295,8 @@ def _candidates(labels: DataFrame, most: int, percent: int) -> DataFrame:
             if cut:
                 yield marks(tree, label, cut, None)
             for x, y in regions(rows, 1 + DEPTH):
-                i, j, full = region_pairs(label[x:y], root[x:y], most, whole[x:y] if later else None,
-                                          sizes[x:y], percent)
+                i, j, full = (region_pairs(label[x:y], root[x:y], most, whole[x:y], sizes[x:y], percent)
+                              if later else nearest_pairs(label[x:y], root[x:y], most))
                 n = len(i) + len(full)
                 if n:
                     ka = [key[x + k] for k in i] + [key[x + k] for k in full]
@@ -442,14 +469,15 @@ def _verdicts(docs: DataFrame, doc_id: str, text: str, width: int, percent: int)
         F.min("id").alias("low"), F.first("signature").alias("signature"),
         F.first("n_shingles").alias("n_shingles"),
         F.xxhash64("class").alias("root")))
-    active, links, checked, roots, texts = classes, None, None, None, None
-    for turn, most in enumerate((*NEIGHBOURS, None)):
+    active, links, checked, roots, texts, seen = classes, None, None, None, None, None
+    for turn, (trees, most) in enumerate((*ROUNDS, (None, None))):
         if most is None:  # all that were searched again, whatever their regions
             texts = _with_texts(texts, active.select("class"), named, classes, width)
             pairs = _rare_pairs(active, texts, width, percent)
         else:
-            labels = _labels(active, "n_shingles", *["signature"] * bool(turn))
+            labels = _labels(active, "n_shingles", *["signature"] * (turn > 1), trees=trees)
             found = store(_candidates(labels, most, percent))
+            seen = found if seen is None else seen.unionByName(found)
             pairs = found.filter(F.col("b").isNotNull()).select("a", "b")
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
@@ -462,8 +490,8 @@ def _verdicts(docs: DataFrame, doc_id: str, text: str, width: int, percent: int)
         roots = store(components(links))
         if most is None:
             break
-        if not turn:  # only regions that were not searched whole are searched again, all of their classes
-            active = store(classes.join(_crowded(_labels(classes), found), "class", "left_semi"))
+        if turn == 1:  # only regions that were not searched whole are searched again, all of their classes
+            active = store(classes.join(_crowded(_labels(classes), seen), "class", "left_semi"))
             if not active.limit(1).count():
                 break
         active = store(_rooted(active.drop("root"), roots))

@@ -152,6 +152,29 @@ def test_language(docs, rows, nothing):
     assert langid.keep_known(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_nearest_pairs_leave_nothing_out_unmarked(seed):
+    """Every agreeing pair of different components is taken, or one of its rows is marked;
+    a component that holds most of the region is not paired with itself."""
+    rng = np.random.default_rng(seed)
+    n, most = 300, 2
+    base = rng.integers(0, 3, neardup.LABEL)
+    labels = np.where(rng.random((n, neardup.LABEL)) < rng.choice([0.2, 0.7]), rng.integers(0, 9, (n, neardup.LABEL)), base)
+    labels = labels[np.lexsort(labels.T[::-1])]
+    roots = np.arange(n) if seed % 2 else np.where(rng.random(n) < 0.8, 1000, np.arange(n))
+    left, right, full = neardup.nearest_pairs(labels, roots, most)
+    got = {(min(a, b), max(a, b)) for a, b in zip(left.tolist(), right.tolist())}
+    marked = set(full.tolist())
+    for a in range(n):
+        for b in range(a + 1, n):
+            agree = (labels[a] == labels[b]).sum() >= neardup.LABEL // 2
+            if agree and roots[a] != roots[b]:
+                assert (a, b) in got or a in marked or b in marked
+            else:
+                assert (a, b) not in got
+    assert len(got) <= 2 * most * (roots != 1000).sum()
+
+
 def test_class_model(docs, rows, nothing):
     held = lambda r: r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2
     counts = Counter()
