@@ -6,10 +6,10 @@ words tells at once which languages contain an n-gram. A text is scored by
 counting, per language, the n-grams found; the count is corrected for the
 filter's false positives, which are known from its fill.
 
-The profiles are learned from a bounded sample of labelled rows (at most
-``most_rows``, an equal part for each language, by a hash of text and key) and
-hold at most ``most_grams`` n-grams per language and ``most_model`` in all, so
-the model has a fixed size limit and may be broadcast. Any number of languages up to
+The profiles hold at most ``most_grams`` n-grams per language and ``most_model``
+in all, so the model has a fixed size limit and may be broadcast. :func:`keep_known`
+learns them from every labelled row, :func:`identify` from a bounded sample (at most
+``most_rows``, an equal part for each language, by a hash of text and key). Any number of languages up to
 :data:`MOST_LANGUAGES` is told apart; more labels are refused.
 """
 
@@ -34,6 +34,8 @@ MOST_LANGUAGES = 4096
 _LETTER = re.compile(r"[^\W\d_]")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _BATCH = 1 << 20
+#: Parts of a language that are ranked apart before its most frequent grams are.
+_SLICES = 16
 
 
 def gram_hashes(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -165,6 +167,18 @@ def _grams_of(batch: pa.RecordBatch) -> pa.RecordBatch | None:
          pa.array(np.concatenate(counts).astype(np.int64))], ["lang", "gram", "n"])
 
 
+def labelled(docs: DataFrame, text: str = "text", lang: str = "lang",
+             key: Sequence[str] = ()) -> tuple[DataFrame, dict[str, int]]:
+    """``text, lang, place`` of all labelled rows, and their number per language;
+    ``place`` is a hash of ``key`` and text."""
+    rows = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"),
+                       F.xxhash64(*key, text).alias("place")).dropna()
+    found = rows.groupBy("lang").agg(F.count("*").alias("n")).take(MOST_LANGUAGES + 1)
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    return rows, {r["lang"]: r["n"] for r in found}
+
+
 def labelled_sample(docs: DataFrame, text: str = "text", lang: str = "lang", key: Sequence[str] = (),
                     most_rows: int = 20_000) -> tuple[DataFrame, dict[str, int]]:
     """``text, lang`` of at most about ``most_rows`` labelled rows, stored, and the
@@ -174,12 +188,7 @@ def labelled_sample(docs: DataFrame, text: str = "text", lang: str = "lang", key
     rows with the smallest hashes of ``key`` and text are taken, at any size of
     the table. Without a key, copies of a text are all taken or none.
     """
-    rows = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"),
-                       F.xxhash64(*key, text).alias("place")).dropna()
-    found = rows.groupBy("lang").agg(F.count("*").alias("n")).take(MOST_LANGUAGES + 1)
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    sizes = {r["lang"]: r["n"] for r in found}
+    rows, sizes = labelled(docs, text, lang, key)
     shares = docs.sparkSession.createDataFrame(
         [(k, min(1.0, most_rows / len(sizes) / n)) for k, n in sizes.items()], "lang string, share double")
     chosen = rows.join(F.broadcast(shares), "lang").filter(  # MOST_LANGUAGES rows at most
@@ -188,9 +197,10 @@ def labelled_sample(docs: DataFrame, text: str = "text", lang: str = "lang", key
     return store(chosen.select("text", "lang").repartition(parts)), sizes
 
 
-def fit(sample: DataFrame, sizes: dict[str, int], *, most_grams: int = 20_000,
+def fit(rows: DataFrame, sizes: dict[str, int], *, most_grams: int = 20_000,
         most_model: int = 2_000_000, ratio: float = 0.2, hashes: int = 4) -> Model:
-    """Learn the profiles of all languages at once from :func:`labelled_sample`.
+    """Learn the profiles of all languages at once from the ``text, lang`` of ``rows``
+    (:func:`labelled` or :func:`labelled_sample`).
 
     A gram belongs to the languages in which its relative frequency is at least
     ``ratio`` of that in the language where it is most frequent. Each language
@@ -199,7 +209,7 @@ def fit(sample: DataFrame, sizes: dict[str, int], *, most_grams: int = 20_000,
     """
     if not sizes:
         return Model.build({}, {}, hashes)
-    counted = map_texts(sample, "text", "lang string, gram long, n long", _grams_of, _BATCH)
+    counted = map_texts(rows.select("text", "lang"), "text", "lang string, gram long, n long", _grams_of, _BATCH)
     grams = store(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     totals = F.broadcast(grams.groupBy("lang").agg(F.sum("n").alias("total")))  # MOST_LANGUAGES rows
     rated = grams.join(totals, "lang").select("gram", "lang", (F.col("n") / F.col("total")).alias("rate"))
@@ -208,8 +218,11 @@ def fit(sample: DataFrame, sizes: dict[str, int], *, most_grams: int = 20_000,
             .filter(F.col("of.rate") >= ratio * F.col("top"))
             .select("gram", "of.lang", "of.rate"))
     most = min(most_grams, most_model // len(sizes))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("rate"), "gram"))
-    found = held.withColumn("place", place).filter(F.col("place") <= most).select("lang", "gram").toPandas()
+    first = held  # a slice keeps what its language may keep, so that no task ranks all grams of one
+    for group in (["lang", F.pmod("gram", F.lit(_SLICES))], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("rate"), "gram"))
+        first = first.withColumn("place", place).filter(F.col("place") <= most)
+    found = first.select("lang", "gram").toPandas()
     profiles = {k: np.zeros(0, np.uint64) for k in sizes}
     for name, own in found.groupby("lang")["gram"]:
         profiles[name] = own.to_numpy().astype(np.int64).view(np.uint64)
@@ -259,10 +272,10 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       "lang_pred", "score")
 
 
-def least_evidence(sample: DataFrame, model: Model) -> float:
-    """Half the evidence that all but the lowest per cent of the learned texts have."""
-    judged = predict(sample, model, names=("found", "score", "evidence"))
-    low = judged.filter(F.col("found") != UNKNOWN).agg(F.percentile_approx("evidence", 0.01)).first()[0]
+def least_evidence(judged: DataFrame, lang: str, label: str, evidence: str) -> float:
+    """Half the evidence that all but the lowest per cent of the labelled texts have."""
+    low = judged.filter(F.col(lang).isNotNull() & (F.col(label) != UNKNOWN)).agg(
+        F.percentile_approx(evidence, 0.01)).first()[0]
     return 0.5 * (low or 0.0)
 
 
@@ -273,20 +286,21 @@ def keep_known(docs: DataFrame, text: str = "text", lang: str = "lang",
 
     A document goes if its text has no letter, or if too few of its grams are
     known in the best language: fewer than half the share that all but the lowest per
-    cent of the labelled texts reach (:func:`least_evidence`).
+    cent of the labelled texts reach (:func:`least_evidence`). Grams, languages and
+    that share come from every labelled row, so ``key`` has nothing to choose. All rows
+    are judged once and stored.
 
     * No labelled row: nothing is known of any language, so only texts without a
       letter go. A NULL text has no letter.
     * Rows that repeat each other are judged alike; other columns, whatever their names,
       stay. No rows: no rows.
     """
-    sample, sizes = labelled_sample(docs, text, lang, key)
-    model = fit(sample, sizes)
+    model = fit(*labelled(docs, text, lang, key))
     if not model.languages:
         return docs.filter(F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
-    least = least_evidence(sample, model)
     label, score, evidence = (free_name(docs, n) for n in ("lang_pred", "lang_score", "lang_evidence"))
-    out = predict(docs, model, text, (label, score, evidence))
+    judged = store(predict(docs, model, text, (label, score, evidence)))
+    least = least_evidence(judged, lang, label, evidence)
     found = F.coalesce(F.col(lang), F.col(label).cast(docs.schema[lang].dataType))
-    return out.filter((F.col(label) != UNKNOWN) & (F.col(evidence) >= least)).withColumn(
+    return judged.filter((F.col(label) != UNKNOWN) & (F.col(evidence) >= least)).withColumn(
         lang, found).select(*[f"`{c}`" for c in docs.columns])

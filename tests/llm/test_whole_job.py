@@ -82,3 +82,20 @@ def test_limits_follow_the_source(spark):
     assert kept == {"calm": False, "noisy": True}
     share = quality.with_verdict(measured, ends, "lang", "source").filter("kept").count() / len(rows)
     assert share > 0.97
+
+
+def test_every_labelled_row_is_learned(spark):
+    """A few labelled texts, each in letters of its own, among more rows than a sample of
+    20,000 takes: all stay, as does an unlabelled text in the letters of each."""
+    from patronflow.llm import langid
+
+    def text(k, seed):
+        rng = random.Random(seed)
+        return " ".join("".join(chr(0x4E00 + 4 * k + rng.randrange(4)) for _ in range(4)) for _ in range(40))
+
+    odd = [(k + 100 * n, text(k, k), None if n else "en") for n in range(2) for k in range(40)]
+    docs = spark.createDataFrame(odd, "doc_id long, text string, lang string").union(
+        spark.range(1000, 41_000).selectExpr("id", "'the same text in plain words'", "'en'"))
+    kept = langid.keep_known(docs, key=["doc_id"])
+    assert kept.count() == 40_080
+    assert {(r.doc_id, r.lang) for r in kept.filter("doc_id < 1000").collect()} == {(i, "en") for i, _, _ in odd}
