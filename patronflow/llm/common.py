@@ -23,10 +23,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def store(df: DataFrame) -> DataFrame:
+def store(df: DataFrame, files: int | None = None) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, so that a
-    lost executor costs a re-read and later steps never recompute this one."""
+    lost executor costs a re-read and later steps never recompute this one.
+    ``files``: the tasks of the last stage and so the files, at most."""
     spark, schema, path = df.sparkSession, df.schema, shared_folder(df.sparkSession)
+    if files is not None:
+        df = df.coalesce(files)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 

@@ -24,7 +24,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
             .filter("a <> b").distinct())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, files: int | None = None) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``; the root is the
     smallest node of the component.
 
@@ -32,13 +32,13 @@ def components(edges: DataFrame) -> DataFrame:
     takes one minimum per node (pre-aggregated, so a hub costs one row per
     task) and joins it back by a join that adaptive execution can split. The
     number of rounds grows with the logarithm of the longest path. Each round
-    is stored, so lost executors do not undo it. Loops and NULL ends are
-    ignored.
+    is stored, so lost executors do not undo it, in at most ``files`` files. Loops
+    and NULL ends are ignored.
     """
-    now = store(edges.select("a", "b").filter("a <> b").distinct())
+    now = store(edges.select("a", "b").filter("a <> b").distinct(), files)
     count, digest = None, None
     while True:
-        then = store(_small_star(_large_star(now)))
+        then = store(_small_star(_large_star(now)), files)
         state = then.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         now = then
         if (count, digest) == tuple(state):

@@ -38,6 +38,8 @@ DEPTH, REGION = 2, 2048
 ROUNDS = ((range(FIRST), 2), (range(FIRST, TREES), 2), (range(TREES), 8))
 #: Equal minima that a later round asks for: at similarity 0.8 fewer have a chance of 2e-6.
 ALIKE = 80
+#: Documents, and bytes of text, for which a table between the steps has one more file.
+FILE_ROWS, FILE_BYTES = 1 << 13, 32 << 20
 #: Counters of shingles by their low bits; they only set the order of shingles.
 COUNTERS = 1 << 18
 _WORD2 = np.uint64(0xD1342543DE82EF95)
@@ -380,7 +382,16 @@ def _counters(rows: DataFrame, width: int) -> np.ndarray:
     return counts
 
 
-def _rare_pairs(active: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _files(rows: DataFrame) -> int:
+    """Files for a table between the steps, in proportion to the documents. Such a table has
+    a few rows a document at most: with a file for each shuffle partition most files
+    would hold a few rows, and Hadoop starts processes for each file on a local disk."""
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // FILE_ROWS), -(-size // FILE_BYTES))
+
+
+def _rare_pairs(active: DataFrame, texts: DataFrame, width: int, percent: int,
+                files: int | None = None) -> DataFrame:
     """Pairs ``a < b`` of different components, none with the similarity left out
     but by :data:`ALIKE`.
 
@@ -390,14 +401,15 @@ def _rare_pairs(active: DataFrame, texts: DataFrame, width: int, percent: int) -
     members of its largest component do not look for each other.
     """
     rows = texts.join(active.select("class", "root"), "class")
-    listed = store(_rare_postings(rows, _counters(rows, width), width, percent))
+    listed = store(_rare_postings(rows, _counters(rows, width), width, percent), files)
     lists = (listed.groupBy("shingle", "root").agg(F.count("*").alias("n"))
              .groupBy("shingle").agg(F.max_by("root", F.struct("n", "root")).alias("main"),
                                      F.count("*").alias("roots")).filter("roots > 1"))
-    met = store(listed.join(lists.select("shingle", "main"), "shingle"))
+    met = store(listed.join(lists.select("shingle", "main"), "shingle"), files)
     one = met.filter("root != main").drop("main").alias("x")
     both = one.join(met.drop("main").alias("y"), F.col("x.shingle") == F.col("y.shingle"))
     most = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
+    # as many files as partitions: these pairs may be far more than the documents
     pairs = store(both.filter(
         (F.col("x.root") != F.col("y.root"))
         & (100 * most >= percent * (F.col("x.size") + F.col("y.size") - most))).select(
@@ -463,38 +475,40 @@ def _verdicts(docs: DataFrame, doc_id: str, text: str, width: int, percent: int)
     """:func:`near_duplicates` with ``place``, a hash of the row's text."""
     named = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("place"),
                         F.col(text).alias("text"))
-    rows = store(describe(named, "text", width))
+    rows = store(describe(named.withColumn("bytes", F.octet_length("text").cast("long")), "text", width))
+    files = _files(rows)
     filled = rows.filter(F.col("class").isNotNull())
     classes = store(filled.groupBy("class").agg(
         F.min("id").alias("low"), F.first("signature").alias("signature"),
         F.first("n_shingles").alias("n_shingles"),
-        F.xxhash64("class").alias("root")))
+        F.xxhash64("class").alias("root")), files)
     active, links, checked, roots, texts, seen = classes, None, None, None, None, None
     for turn, (trees, most) in enumerate((*ROUNDS, (None, None))):
         if most is None:  # all that were searched again, whatever their regions
-            texts = _with_texts(texts, active.select("class"), named, classes, width)
-            pairs = _rare_pairs(active, texts, width, percent)
+            texts = _with_texts(texts, active.select("class"), named, classes, width, files)
+            pairs = _rare_pairs(active, texts, width, percent, files)
         else:
             labels = _labels(active, "n_shingles", *["signature"] * (turn > 1), trees=trees)
-            found = store(_candidates(labels, most, percent))
+            found = store(_candidates(labels, most, percent), files)
             seen = found if seen is None else seen.unionByName(found)
             pairs = found.filter(F.col("b").isNotNull()).select("a", "b")
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = store(pairs)
+        pairs = store(pairs, files)
         texts = _with_texts(texts, pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(),
-                            named, classes, width)
-        new = store(_confirm(pairs, texts, width, percent))
+                            named, classes, width, files)
+        # links are small rows: an exchange leaves their confirmation in all its tasks
+        new = store(_confirm(pairs, texts, width, percent).repartition(files))
         links = new if links is None else links.unionByName(new)
         checked = pairs if checked is None else checked.unionByName(pairs)
-        roots = store(components(links))
+        roots = store(components(links, files), files)
         if most is None:
             break
         if turn == 1:  # only regions that were not searched whole are searched again, all of their classes
-            active = store(classes.join(_crowded(_labels(classes), seen), "class", "left_semi"))
+            active = store(classes.join(_crowded(_labels(classes), seen), "class", "left_semi"), files)
             if not active.limit(1).count():
                 break
-        active = store(_rooted(active.drop("root"), roots))
+        active = store(_rooted(active.drop("root"), roots), files)
     members = classes.drop("root").join(roots.withColumnRenamed("node", "class"), "class", "left").select(
         "class", "low", F.coalesce("root", "class").alias("root"))
     lowest = members.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -531,14 +545,14 @@ def _crowded(labels: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _with_texts(texts: DataFrame | None, wanted: DataFrame, named: DataFrame, classes: DataFrame,
-                width: int) -> DataFrame:
+                width: int, files: int) -> DataFrame:
     """``texts`` and the texts of the ``wanted`` classes that it lacks."""
     if texts is not None:
-        wanted = store(wanted.join(texts, "class", "left_anti"))
+        wanted = store(wanted.join(texts, "class", "left_anti"), files)
         if not wanted.limit(1).count():
             return texts
     more = store(_texts_of(named, classes.join(wanted, "class").select(
-        "class", F.col("low").alias("id")), width))
+        "class", F.col("low").alias("id")), width), files)
     return more if texts is None else texts.unionByName(more)
 
 

@@ -99,3 +99,32 @@ def test_every_labelled_row_is_learned(spark):
     kept = langid.keep_known(docs, key=["doc_id"])
     assert kept.count() == 40_080
     assert {(r.doc_id, r.lang) for r in kept.filter("doc_id < 1000").collect()} == {(i, "en") for i, _, _ in odd}
+
+
+def test_near_duplicates_write_few_files(spark, tmp_path, monkeypatch):
+    """Small tables between the steps are not spread over all shuffle partitions, and the
+    components stay those of brute force."""
+    from patronflow.llm import common
+
+    made = iter(range(10**6))
+    monkeypatch.setattr(common, "shared_folder", lambda _: str(tmp_path / str(next(made))))
+    monkeypatch.setattr(neardup, "REGION", 8)  # regions are cut, so that every round has work
+    rng = random.Random(7)
+    rows = []
+    for k in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        for n in range(5):
+            rows.append((len(rows), k, " ".join([*words[:58], f"x{n}", f"y{k}"])))
+    docs = spark.createDataFrame(rows, "doc_id long, of long, text string")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                           "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "30")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs, width=2).collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert found == {i: 5 * k for i, k, _ in rows}
+    files = [len(list(folder.glob("part-*"))) for folder in tmp_path.iterdir()]
+    assert len(files) > 20 and max(files) <= spark.sparkContext.defaultParallelism
