@@ -38,6 +38,8 @@ DEPTH, REGION = 2, 2048
 ROUNDS = ((range(FIRST), 2), (range(FIRST, TREES), 2), (range(TREES), 8))
 #: Equal minima that a later round asks for: at similarity 0.8 fewer have a chance of 2e-6.
 ALIKE = 80
+#: Bytes of text that are cut into shingles at a time: many arrays of eight bytes a word.
+_BATCH = 1 << 20
 #: Documents, and bytes of text, for which a table between the steps has one more file.
 FILE_ROWS, FILE_BYTES = 1 << 13, 32 << 20
 #: Counters of shingles by their low bits; they only set the order of shingles.
@@ -129,7 +131,7 @@ def describe(docs: DataFrame, text: str, width: int) -> DataFrame:
             [*names, "class", "n_shingles", "signature"])
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in own)
-    return map_texts(docs, text, f"{kinds}class binary, n_shingles long, signature binary", run)
+    return map_texts(docs, text, f"{kinds}class binary, n_shingles long, signature binary", run, _BATCH)
 
 
 def _labels(classes: DataFrame, *more: str, trees: range = range(TREES)) -> DataFrame:
@@ -361,7 +363,7 @@ def _rare_postings(rows: DataFrame, counts: np.ndarray, width: int, percent: int
              batch["root"].take(whose), pa.array(sizes[doc][early].astype(np.int64)),
              pa.array(at[early].astype(np.int64))], ["shingle", "class", "root", "size", "at"])
 
-    return map_texts(rows, "text", "shingle long, class binary, root long, size long, at long", run)
+    return map_texts(rows, "text", "shingle long, class binary, root long, size long, at long", run, _BATCH)
 
 
 def _counters(rows: DataFrame, width: int) -> np.ndarray:
@@ -369,7 +371,7 @@ def _counters(rows: DataFrame, width: int) -> np.ndarray:
     def run(it):
         counts = np.zeros(COUNTERS, dtype=np.int64)
         for batch in it:
-            for part in batches(batch, "text"):
+            for part in batches(batch, "text", _BATCH):
                 values, _ = shingles(Words(part["text"]), width)
                 counts += np.bincount((values % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         at = np.flatnonzero(counts)
@@ -447,7 +449,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
             keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return map_texts(both.select("a", "b", "text", "other"), "text", "a binary, b binary", run)
+    return map_texts(both.select("a", "b", "text", "other"), "text", "a binary, b binary", run, _BATCH)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *,
@@ -567,7 +569,7 @@ def _texts_of(named: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             digests(values, first), batch["class"].to_pylist(), strict=True)]
         return batch.select(["class", "text"]).filter(pa.array(same, pa.bool_()))
 
-    return map_texts(rows, "text", "class binary, text string", run)
+    return map_texts(rows, "text", "class binary, text string", run, _BATCH)
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, width: int = 5,
