@@ -17,6 +17,10 @@ _SPACE[[32, *range(9, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Documents, and bytes of text, for which a table between the steps has one more file.
+FILE_ROWS, FILE_BYTES = 1 << 13, 32 << 20
+#: Bits of the filter of :func:`likely`: 64 to a row, so 262,144 broadcast rows at most.
+_BITS = 1 << 24
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +38,34 @@ def store(df: DataFrame, files: int | None = None) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def few_files(docs: DataFrame, text: str | Column, least: int = 1) -> int:
+    """Files for a table between the steps, in proportion to the documents, at least
+    ``least`` for each core. Such a table has a few rows a document at most: with a file
+    for each shuffle partition most files would hold a few rows, and Hadoop starts
+    processes for each file on a local disk."""
+    n, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text).cast("long")), F.lit(0))).first()
+    return files_of(docs.sparkSession, n, size, least)
+
+
+def files_of(spark: SparkSession, n: int, size: int, least: int = 1) -> int:
+    """:func:`few_files` of ``n`` documents with ``size`` bytes of text."""
+    return max(least * spark.sparkContext.defaultParallelism, -(-n // FILE_ROWS), -(-size // FILE_BYTES))
+
+
+def likely(rows: DataFrame, wanted: DataFrame, on: str) -> DataFrame:
+    """``rows`` without most of those whose column ``on`` is not in ``wanted``, and with all
+    that are: the exact join that follows exchanges fewer rows.
+
+    The filter has a fixed size; the more keys are wanted, the more other rows pass it.
+    """
+    word, bits = free_name(rows, "word"), free_name(rows, "bits")
+    place = F.pmod(F.xxhash64(on), F.lit(_BITS))
+    words = wanted.select(place.alias("at")).groupBy(F.floor(F.col("at") / 64).alias(word)).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias(bits))
+    near = rows.join(F.broadcast(words), F.floor(place / 64) == F.col(word))
+    return near.filter(F.getbit(bits, (place % 64).cast("int")) == 1).drop(word, bits)
+
+
 def remainder(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; NULL for a missing id."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, batches, free_name, map_texts, mix, store
+from .common import Words, batches, files_of, free_name, likely, map_texts, mix, store
 from .components import components
 
 HASHES, TREES, FIRST, LABEL = 128, 16, 2, 16
@@ -40,8 +40,6 @@ ROUNDS = ((range(FIRST), 2), (range(FIRST, TREES), 2), (range(TREES), 8))
 ALIKE = 80
 #: Bytes of text that are cut into shingles at a time: many arrays of eight bytes a word.
 _BATCH = 1 << 20
-#: Documents, and bytes of text, for which a table between the steps has one more file.
-FILE_ROWS, FILE_BYTES = 1 << 13, 32 << 20
 #: Counters of shingles by their low bits; they only set the order of shingles.
 COUNTERS = 1 << 18
 _WORD2 = np.uint64(0xD1342543DE82EF95)
@@ -385,11 +383,8 @@ def _counters(rows: DataFrame, width: int) -> np.ndarray:
 
 
 def _files(rows: DataFrame) -> int:
-    """Files for a table between the steps, in proportion to the documents. Such a table has
-    a few rows a document at most: with a file for each shuffle partition most files
-    would hold a few rows, and Hadoop starts processes for each file on a local disk."""
-    n, size = rows.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
-    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // FILE_ROWS), -(-size // FILE_BYTES))
+    """:func:`files_of` the described documents."""
+    return files_of(rows.sparkSession, *rows.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first())
 
 
 def _rare_pairs(active: DataFrame, texts: DataFrame, width: int, percent: int,
@@ -402,12 +397,13 @@ def _rare_pairs(active: DataFrame, texts: DataFrame, width: int, percent: int,
     paired where enough of each text is its own. In the list of a shingle the
     members of its largest component do not look for each other.
     """
-    rows = texts.join(active.select("class", "root"), "class")
+    rows = store(texts.join(active.select("class", "root"), "class"), files)
     listed = store(_rare_postings(rows, _counters(rows, width), width, percent), files)
-    lists = (listed.groupBy("shingle", "root").agg(F.count("*").alias("n"))
-             .groupBy("shingle").agg(F.max_by("root", F.struct("n", "root")).alias("main"),
-                                     F.count("*").alias("roots")).filter("roots > 1"))
-    met = store(listed.join(lists.select("shingle", "main"), "shingle"), files)
+    lists = store(listed.groupBy("shingle", "root").agg(F.count("*").alias("n"))
+                  .groupBy("shingle").agg(F.max_by("root", F.struct("n", "root")).alias("main"),
+                                          F.count("*").alias("roots"))
+                  .filter("roots > 1").select("shingle", "main"), files)
+    met = store(likely(listed, lists, "shingle").join(lists, "shingle"), files)
     one = met.filter("root != main").drop("main").alias("x")
     both = one.join(met.drop("main").alias("y"), F.col("x.shingle") == F.col("y.shingle"))
     most = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))
@@ -433,7 +429,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     """The pairs whose full shingle sets reach the similarity."""
     left = texts.select(F.col("class").alias("a"), F.col("text").alias("text"))
     right = texts.select(F.col("class").alias("b"), F.col("text").alias("other"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.join(likely(left, pairs, "a"), "a").join(likely(right, pairs, "b"), "b")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         one, other = batch["text"].dictionary_encode(), batch["other"].dictionary_encode()
@@ -507,7 +503,8 @@ def _verdicts(docs: DataFrame, doc_id: str, text: str, width: int, percent: int)
         if most is None:
             break
         if turn == 1:  # only regions that were not searched whole are searched again, all of their classes
-            active = store(classes.join(_crowded(_labels(classes), seen), "class", "left_semi"), files)
+            crowded = store(_crowded(_labels(classes), seen), files)
+            active = store(likely(classes, crowded, "class").join(crowded, "class", "left_semi"), files)
             if not active.limit(1).count():
                 break
         active = store(_rooted(active.drop("root"), roots), files)
@@ -536,14 +533,13 @@ def _rooted(classes: DataFrame, roots: DataFrame) -> DataFrame:
 def _crowded(labels: DataFrame, found: DataFrame) -> DataFrame:
     """Classes that share a region (same tree and leading minima) with a class
     that left neighbours out, or whose region was cut."""
-    prefix = F.substring("label", 1, 2 * DEPTH).alias("prefix")
     dense = found.filter(F.col("a").isNotNull() & F.col("b").isNull()).select(F.col("a").alias("class"))
     marks = found.filter(F.col("prefix").isNotNull()).groupBy("tree", "prefix").agg(
         F.count_distinct("border").alias("parts"), F.count_if(F.col("border").isNull()).alias("cut"))
-    regions = labels.join(dense.distinct(), "class", "left_semi").select("tree", prefix).union(
-        marks.filter("parts > 1 OR cut > 0").select("tree", "prefix")).distinct()
-    return labels.select("class", "tree", prefix).join(
-        regions, ["tree", "prefix"], "left_semi").select("class").distinct()
+    placed = labels.select("class", F.struct("tree", F.substring("label", 1, 2 * DEPTH).alias("prefix")).alias("region"))
+    regions = likely(placed, dense, "class").join(dense.distinct(), "class", "left_semi").select("region").union(
+        marks.filter("parts > 1 OR cut > 0").select(F.struct("tree", "prefix"))).distinct()
+    return likely(placed, regions, "region").join(regions, "region", "left_semi").select("class").distinct()
 
 
 def _with_texts(texts: DataFrame | None, wanted: DataFrame, named: DataFrame, classes: DataFrame,
@@ -553,8 +549,8 @@ def _with_texts(texts: DataFrame | None, wanted: DataFrame, named: DataFrame, cl
         wanted = store(wanted.join(texts, "class", "left_anti"), files)
         if not wanted.limit(1).count():
             return texts
-    more = store(_texts_of(named, classes.join(wanted, "class").select(
-        "class", F.col("low").alias("id")), width), files)
+    ids = store(classes.join(wanted, "class").select("class", F.col("low").alias("id")), files)
+    more = store(_texts_of(likely(named, ids, "id"), ids, width), files)
     return more if texts is None else texts.unionByName(more)
 
 

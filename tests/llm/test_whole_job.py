@@ -128,3 +128,30 @@ def test_near_duplicates_write_few_files(spark, tmp_path, monkeypatch):
     assert found == {i: 5 * k for i, k, _ in rows}
     files = [len(list(folder.glob("part-*"))) for folder in tmp_path.iterdir()]
     assert len(files) > 20 and max(files) <= spark.sparkContext.defaultParallelism
+
+
+def test_likely_rows_hold_all_that_are_wanted(spark):
+    """All wanted keys pass, of the others few; NULL keys, repeated rows and columns of any name stay right."""
+    from patronflow.llm.common import likely
+
+    rows = spark.range(20_000).selectExpr("id", "id * 2 AS word", "'x' AS bits").union(
+        spark.createDataFrame([(None, 1, "n"), (5, 9, "again")], "id long, word long, bits string"))
+    wanted = spark.range(0, 1000).selectExpr("id").union(spark.createDataFrame([(None,), (7,)], "id long"))
+    got = likely(rows, wanted, "id")
+    assert got.columns == rows.columns
+    ids = [r.id for r in got.collect()]
+    assert len(ids) == len(set(ids)) + 1 and set(range(1000)) <= set(ids) and len(ids) < 1200
+    assert likely(rows, wanted.limit(0), "id").count() == 0
+
+
+def test_only_texts_with_candidates_are_exchanged(spark, monkeypatch):
+    """Before the join of texts by id, nearly all texts that no candidate needs are gone."""
+    rows = spark.range(5000).selectExpr("id", "concat_ws(' ', transform(sequence(1, 20), x -> hash(id, x))) AS text")
+    classes = neardup.describe(rows, "text", 2).selectExpr("class", "id AS low")
+    joined = []
+    plain = neardup._texts_of
+    monkeypatch.setattr(neardup, "_texts_of", lambda named, ids, width: (
+        joined.append(named.count()), plain(named, ids, width))[1])
+    found = neardup._with_texts(None, classes.filter("low < 50").select("class"), rows, classes, 2, 2)
+    assert found.count() == 50
+    assert 50 <= joined[0] < 100
