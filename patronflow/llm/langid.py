@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import free_name, map_texts, mix, remainder, store
+from .common import few_files, free_name, map_texts, mix, remainder, store
 
 GRAMS = (2, 3, 4)
 UNKNOWN = "und"
@@ -198,19 +198,20 @@ def labelled_sample(docs: DataFrame, text: str = "text", lang: str = "lang", key
 
 
 def fit(rows: DataFrame, sizes: dict[str, int], *, most_grams: int = 20_000,
-        most_model: int = 2_000_000, ratio: float = 0.2, hashes: int = 4) -> Model:
+        most_model: int = 2_000_000, ratio: float = 0.2, hashes: int = 4, files: int | None = None) -> Model:
     """Learn the profiles of all languages at once from the ``text, lang`` of ``rows``
     (:func:`labelled` or :func:`labelled_sample`).
 
     A gram belongs to the languages in which its relative frequency is at least
     ``ratio`` of that in the language where it is most frequent. Each language
     keeps its ``most_grams`` most frequent grams, or an equal part of
-    ``most_model`` if there are too many languages for that.
+    ``most_model`` if there are too many languages for that. They are stored in at
+    most ``files`` files.
     """
     if not sizes:
         return Model.build({}, {}, hashes)
     counted = map_texts(rows.select("text", "lang"), "text", "lang string, gram long, n long", _grams_of, _BATCH)
-    grams = store(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    grams = store(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), files)
     totals = F.broadcast(grams.groupBy("lang").agg(F.sum("n").alias("total")))  # MOST_LANGUAGES rows
     rated = grams.join(totals, "lang").select("gram", "lang", (F.col("n") / F.col("total")).alias("rate"))
     best = rated.groupBy("gram").agg(F.collect_list(F.struct("lang", "rate")).alias("of"))
@@ -295,11 +296,12 @@ def keep_known(docs: DataFrame, text: str = "text", lang: str = "lang",
     * Rows that repeat each other are judged alike; other columns, whatever their names,
       stay. No rows: no rows.
     """
-    model = fit(*labelled(docs, text, lang, key))
+    files = few_files(docs, text, least=4)
+    model = fit(*labelled(docs, text, lang, key), files=files)
     if not model.languages:
         return docs.filter(F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     label, score, evidence = (free_name(docs, n) for n in ("lang_pred", "lang_score", "lang_evidence"))
-    judged = store(predict(docs, model, text, (label, score, evidence)))
+    judged = store(predict(docs, model, text, (label, score, evidence)), files)
     least = least_evidence(judged, lang, label, evidence)
     found = F.coalesce(F.col(lang), F.col(label).cast(docs.schema[lang].dataType))
     return judged.filter((F.col(label) != UNKNOWN) & (F.col(evidence) >= least)).withColumn(

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import free_name, map_texts, store
+from .common import few_files, free_name, map_texts, store
 
 BROADCAST_ROWS = 100_000
 #: Number from which a replacement is longer than its entity by a character each.
@@ -245,17 +245,18 @@ def _with_surrogates(table: DataFrame, key: bytes) -> DataFrame:
     return table.mapInArrow(run, "kind string, entity string, turn int, new string")
 
 
-def assign(found: DataFrame, key: bytes) -> DataFrame:
+def assign(found: DataFrame, key: bytes, files: int | None = None) -> DataFrame:
     """``kind, entity, turn, new`` with distinct replacements.
 
     In each round the replacements of the table are compared with each other
     and with all entities; the smallest entity of a conflict keeps its own
     unless it is a real one, the others take the next number. Ends when a round
     finds no conflict; the replacements to draw from become more with each
-    number, so conflicts fall by orders of magnitude a round.
+    number, so conflicts fall by orders of magnitude a round. Each round is stored in at
+    most ``files`` files.
     """
     group = F.substring_index("kind", ":", 1)
-    now = store(_with_surrogates(found.select("kind", "entity", F.lit(0).alias("turn")), key))
+    now = store(_with_surrogates(found.select("kind", "entity", F.lit(0).alias("turn")), key), files)
     real = found.select(group.alias("g"), F.col("entity").alias("new")).distinct()
     while True:
         named = now.withColumn("g", group)
@@ -266,13 +267,13 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
             (F.col("entity") != F.col("first.entity")) | (F.col("kind") != F.col("first.kind")))
         clash = lost.select("kind", "entity").union(
             named.join(real, ["g", "new"], "left_semi").select("kind", "entity")).distinct()
-        clash = store(clash)
+        clash = store(clash, files)
         if not clash.limit(1).count():
             return now
         again = now.join(clash, ["kind", "entity"], "left_semi").select(
             "kind", "entity", (F.col("turn") + 1).alias("turn"))
         now = store(now.join(clash, ["kind", "entity"], "left_anti").unionByName(
-            _with_surrogates(again, key)))
+            _with_surrogates(again, key)), files)
 
 
 def replace(text: str | None, key: bytes,
@@ -297,8 +298,9 @@ def pseudonymize(docs: DataFrame, key: bytes, text: str = "text",
     NULL stays NULL; texts without entities are returned as they are; all other
     columns stay; repeated rows are treated alike. No rows: no rows.
     """
-    mapping = assign(store(entities(docs, text)), key)
-    moved = store(mapping.filter("turn > 0").select("kind", "entity", "turn"))
+    files = few_files(docs, text)
+    mapping = assign(store(entities(docs, text), files), key, files)
+    moved = store(mapping.filter("turn > 0").select("kind", "entity", "turn"), files)
     small = moved.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     extra = free_name(docs, "_turns")
     name = free_name(docs, count) if count else None

@@ -130,6 +130,39 @@ def test_near_duplicates_write_few_files(spark, tmp_path, monkeypatch):
     assert len(files) > 20 and max(files) <= spark.sparkContext.defaultParallelism
 
 
+def _few(spark, tmp_path, monkeypatch, run):
+    """Files of each stored table and of the result, with 30 input and shuffle partitions."""
+    from patronflow.llm import common
+
+    made = iter(range(10**6))
+    monkeypatch.setattr(common, "shared_folder", lambda _: str(tmp_path / str(next(made))))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                           "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "30")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        rows = run().collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    return rows, [len(list(folder.glob("part-*"))) for folder in tmp_path.iterdir()]
+
+
+def test_language_and_pii_write_few_files(spark, tmp_path, monkeypatch):
+    """Tables between their steps are not spread over all partitions of small input."""
+    from patronflow.llm import langid
+
+    rows = [(k, f"mail user{k}@site{k}.com or call the people of the town {k}", "en") for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    wide = docs.repartition(30 * spark.sparkContext.defaultParallelism)
+    kept, files = _few(spark, tmp_path / "lang", monkeypatch, lambda: langid.keep_known(wide, key=["doc_id"]))
+    assert {r.doc_id for r in kept} == set(range(600))
+    assert files and max(files) <= 4 * spark.sparkContext.defaultParallelism
+    done, files = _few(spark, tmp_path / "pii", monkeypatch, lambda: pii.pseudonymize(docs, b"k"))
+    assert len({r.text for r in done}) == 600 and not {r.text for r in done} & {r[1] for r in rows}
+    assert files and max(files) <= spark.sparkContext.defaultParallelism
+
+
 def test_likely_rows_hold_all_that_are_wanted(spark):
     """All wanted keys pass, of the others few; NULL keys, repeated rows and columns of any name stay right."""
     from patronflow.llm.common import likely
